@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.common import fits
+from quern.common import materialize
 from quern.functions.words import CLOUD_EXTRA, ENGLISH, STOP_WORDS, accent_table
 from quern.operators.profile import class_share
 from quern.operators.shape import top_n_per_group
@@ -164,9 +164,10 @@ def phrase_scores(
     """Adjacent pairs that occur together more often than their words suggest.
 
     score = (n_ab - min_count) / n_a / n_b * vocabulary size, where the vocabulary holds words and
-    pairs; kept above the threshold. The joins run over distinct words and pairs, never over texts.
+    pairs; kept above the threshold. The texts are read once: the counts of distinct words and pairs
+    are written, and all joins run over them.
     """
-    counts = pair_counts(df, tokens)
+    counts = materialize(pair_counts(df, tokens), "pairs")
     singles = counts.filter(F.col("b").isNull())
     pairs = counts.filter(F.col("b").isNotNull() & (F.col("n") >= min_count))
     vocabulary = counts.agg(F.count(F.lit(1))).scalar()
@@ -201,10 +202,9 @@ def apply_phrases(
     Up to ``limit`` phrases travel to the executors as a set, after a count. Beyond that the
     pairs are matched by a join, and only the places that matched are sent back to their texts.
     """
-    if fits(phrases, limit):
-        pairs = df.sparkSession.sparkContext.broadcast(
-            {(r["a"], r["b"]) for r in phrases.select("a", "b").collect()}
-        )
+    few = phrases.select("a", "b").limit(limit + 1).collect()
+    if len(few) <= limit:
+        pairs = df.sparkSession.sparkContext.broadcast({(r["a"], r["b"]) for r in few})
 
         @F.pandas_udf("array<string>")
         def merged(col: pd.Series) -> pd.Series:
