@@ -58,6 +58,17 @@ def broadcast_if_small(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
     return F.broadcast(df) if fits(df, limit) else df
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal a table out by ``key`` when it sits in fewer splits than there are cores.
+
+    For work that is heavy per row, such as regular expressions over long texts, where moving a split
+    costs far less than leaving cores idle. A table with enough splits, which any large one has, is
+    returned as it is and not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def with_row_number(
     df: DataFrame, order: Sequence[str | Column], name: str = "row_no", start: int = 0
 ) -> DataFrame:

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quern.common import materialize
+
 
 def _long(structs: Sequence[Column]) -> Column:
     return F.explode(F.array(*structs)).alias("_r")
@@ -118,123 +121,142 @@ def most_frequent_values(df: DataFrame) -> DataFrame:
     )
 
 
+SKETCH_ACCURACY = 10_000
+
+
 def exact_quantiles(
     df: DataFrame, cols: Sequence[str], probs: Sequence[float], limit: int = 1_000_000
 ) -> dict[tuple[str, float], float | None]:
     """Quantiles with linear interpolation, exact for any number of rows.
 
     ``percentile`` would gather every distinct value of a column in one task. Here a mergeable
-    sketch brackets each quantile, the rows below the bracket are counted, and only the rows
-    inside it are ranked. A bracket with more than ``limit`` distinct values is narrowed again.
-    NaN counts as missing.
+    sketch brackets the two ranks of each quantile, the rows below the bracket are counted, and
+    only the distinct values inside it are ranked. A bracket with more than ``limit`` distinct values
+    is narrowed again by a sketch of its own. NaN counts as missing.
     """
     clean = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in cols])
+    slack = 2.0 / SKETCH_ACCURACY
+    shares = [max(0.0, p - slack) for p in probs] + [min(1.0, p + slack) for p in probs]
     sums = clean.agg(
         *[
-            F.struct(F.count(c).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi")).alias(c)
+            F.struct(
+                F.count(c).alias("n"),
+                F.min(c).alias("lo"),
+                F.max(c).alias("hi"),
+                F.percentile_approx(c, shares, SKETCH_ACCURACY).alias("q"),
+            ).alias(c)
             for c in cols
         ]
     ).first()
     out: dict[tuple[str, float], float | None] = {}
-    # target: column, probability -> first wanted rank, bracket
-    open_: dict[tuple[str, float], tuple[int, int, float, float]] = {}
+    ranks: dict[tuple[str, float], tuple[int, int]] = {}
+    brackets: dict[tuple[str, float], tuple[float, float]] = {}
     for c in cols:
         n = sums[c]["n"]
-        for p in probs:
+        for i, p in enumerate(probs):
             if n == 0:
                 out[c, p] = None
                 continue
-            place = p * (n - 1)
-            first = int(place)
-            open_[c, p] = (first, min(first + 1, n - 1), sums[c]["lo"], sums[c]["hi"])
-    sizes = {(c, p): (sums[c]["n"], 0) for c, p in open_}
-    while open_:
-        open_ = _narrow(clean, open_, sizes)
-        done = _ranked(clean, open_, limit)
-        for key, (low, high) in done.items():
-            c, p = key
+            first = int(p * (n - 1))
+            ranks[c, p] = (first, min(first + 1, n - 1))
+            brackets[c, p] = (sums[c]["q"][i], sums[c]["q"][len(probs) + i])
+    whole = {k: (sums[k[0]]["lo"], sums[k[0]]["hi"]) for k in ranks}
+    while ranks:
+        brackets, below, inside = _checked(clean, ranks, brackets, whole)
+        found = _ranked(clean, ranks, brackets, below, limit)
+        for (c, p), (low, high) in found.items():
             place = p * (sums[c]["n"] - 1)
-            out[key] = low + (high - low) * (place - int(place))
-            del open_[key]
+            out[c, p] = low + (high - low) * (place - int(place))
+            del ranks[c, p]
+        if ranks:
+            whole = dict(brackets)
+            brackets = _tightened(clean, ranks, brackets, below, inside)
     return out
 
 
-def _inside(c: str, lo: float, hi: float) -> Column:
-    return F.col(c).between(F.lit(lo), F.lit(hi))
+def _inside(c: str, bracket: tuple[float, float]) -> Column:
+    return F.col(c).between(F.lit(bracket[0]), F.lit(bracket[1]))
 
 
-def _narrow(clean, open_, sizes):
-    """Tighten every bracket around its rank by one sketch over the rows inside it."""
-    accuracy = 10_000
-    aggs, keys = [], list(open_)
-    for i, key in enumerate(keys):
-        c, (first, last, lo, hi) = key[0], open_[key]
-        n, below = sizes[key]
-        slack = 2.0 / accuracy
-        share = [
-            min(1.0, max(0.0, (first - below) / n - slack)),
-            min(1.0, max(0.0, (last - below + 1) / n + slack)),
-        ]
-        aggs.append(
-            F.percentile_approx(F.when(_inside(c, lo, hi), F.col(c)), share, accuracy).alias(f"q{i}")
-        )
+def _checked(clean, ranks, brackets, whole):
+    """Rows below and inside each bracket; one that misses its ranks falls back to the wider one."""
+    keys = list(ranks)
+
+    def count(tried):
+        row = clean.agg(
+            *[F.count_if(F.col(k[0]) < F.lit(tried[k][0])).alias(f"b{i}") for i, k in enumerate(keys)],
+            *[F.count_if(_inside(k[0], tried[k])).alias(f"n{i}") for i, k in enumerate(keys)],
+        ).first()
+        return {k: row[f"b{i}"] for i, k in enumerate(keys)}, {k: row[f"n{i}"] for i, k in enumerate(keys)}
+
+    tried = {k: brackets[k] for k in keys}
+    below, inside = count(tried)
+    missed = [k for k in keys if not below[k] <= ranks[k][0] <= ranks[k][1] < below[k] + inside[k]]
+    if missed:
+        tried.update({k: whole[k] for k in missed})
+        below, inside = count(tried)
+    return tried, below, inside
+
+
+def _tightened(clean, ranks, brackets, below, inside):
+    """Narrower brackets from sketches over the rows inside the present ones."""
+    keys, slack = list(ranks), 2.0 / SKETCH_ACCURACY
+    aggs = []
+    for i, k in enumerate(keys):
+        first, last = ((r - below[k]) / inside[k] for r in ranks[k])
+        shares = [max(0.0, first - slack), min(1.0, last + slack)]
+        x = F.when(_inside(k[0], brackets[k]), F.col(k[0]))
+        aggs.append(F.percentile_approx(x, shares, SKETCH_ACCURACY).alias(f"q{i}"))
     row = clean.agg(*aggs).first()
-    tight = {}
-    for i, key in enumerate(keys):
-        first, last, lo, hi = open_[key]
-        tight[key] = (first, last, max(lo, row[f"q{i}"][0]), min(hi, row[f"q{i}"][1]))
-    counts = clean.agg(
-        *[F.count_if(F.col(k[0]) < F.lit(tight[k][2])).alias(f"b{i}") for i, k in enumerate(keys)],
-        *[F.count_if(_inside(k[0], tight[k][2], tight[k][3])).alias(f"n{i}") for i, k in enumerate(keys)],
-    ).first()
-    for i, key in enumerate(keys):
-        first, last, _, _ = tight[key]
-        below, n = counts[f"b{i}"], counts[f"n{i}"]
-        if below <= first and last < below + n:
-            sizes[key] = (n, below)
-        else:
-            # The sketch missed the rank: stay with the wider bracket.
-            tight[key] = open_[key]
-    return tight
-
-
-def _ranked(clean, open_, limit):
-    """Values at the wanted ranks for all brackets with few enough distinct values."""
-    keys = list(open_)
-    rows = F.explode(
-        F.filter(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(i).alias("target"),
-                        F.when(_inside(k[0], open_[k][2], open_[k][3]), F.col(k[0])).alias("x"),
-                        (F.col(k[0]) < F.lit(open_[k][2])).alias("below"),
-                    )
-                    for i, k in enumerate(keys)
-                ]
-            ),
-            lambda s: s["x"].isNotNull() | s["below"],
+    return {k: (row[f"q{i}"][0], row[f"q{i}"][1]) for i, k in enumerate(keys)}
+
+
+def _ranked(clean, ranks, brackets, below, limit):
+    """Values at the wanted ranks, for all brackets with few enough distinct values."""
+    found = {k: brackets[k] for k in ranks if brackets[k][0] == brackets[k][1]}
+    keys = [k for k in ranks if k not in found]
+    if not keys:
+        return found
+    hits = [_inside(k[0], brackets[k]) for k in keys]
+    targets = F.explode(
+        F.array(
+            *[
+                F.struct(F.lit(i).alias("target"), F.when(hit, F.col(k[0])).alias("x"))
+                for i, (k, hit) in enumerate(zip(keys, hits))
+            ]
         )
     ).alias("s")
-    counts = clean.select(rows).select("s.*").groupBy("target", "x").agg(F.count(F.lit(1)).alias("n"))
-    distinct = counts.groupBy("target").agg(F.count("x").alias("d")).collect()
-    ready = [r["target"] for r in distinct if r["d"] <= limit]
+    counts = (
+        clean.filter(reduce(lambda a, b: a | b, hits))
+        .select(targets)
+        .select("s.*")
+        .filter(F.col("x").isNotNull())
+        .groupBy("target", "x")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    counts = materialize(counts, "quantiles")
+    sizes = counts.groupBy("target").agg(F.count(F.lit(1)).alias("d")).collect()
+    ready = [r["target"] for r in sizes if r["d"] <= limit]
     if not ready:
-        return {}
-    upto = Window.partitionBy("target").orderBy(F.asc_nulls_first("x"))
-    placed = counts.filter(F.col("target").isin(ready)).withColumn("end", F.sum("n").over(upto))
+        return found
     wanted = F.create_map(
-        *[v for i in ready for v in (F.lit(i), F.array(F.lit(open_[keys[i]][0]), F.lit(open_[keys[i]][1])))]
+        *[
+            v
+            for i in ready
+            for v in (F.lit(i), F.array(*[F.lit(r - below[keys[i]]) for r in ranks[keys[i]]]))
+        ]
     )
-    rank = F.explode(F.element_at(wanted, F.col("target")))
-    hits = (
-        placed.filter(F.col("x").isNotNull())
-        .select("target", "x", "n", "end", rank.alias("rank"))
+    upto = Window.partitionBy("target").orderBy("x")
+    places = (
+        counts.filter(F.col("target").isin(ready))
+        .withColumn("end", F.sum("n").over(upto))
+        .select("target", "x", "n", "end", F.explode(F.element_at(wanted, F.col("target"))).alias("rank"))
         .filter((F.col("rank") < F.col("end")) & (F.col("rank") >= F.col("end") - F.col("n")))
         .groupBy("target")
         .agg(F.min("x").alias("low"), F.max("x").alias("high"))
     )
-    return {keys[r["target"]]: (r["low"], r["high"]) for r in hits.collect()}
+    found.update({keys[r["target"]]: (r["low"], r["high"]) for r in places.collect()})
+    return found
 
 
 def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

@@ -37,9 +37,9 @@ def cleaned(
     t = F.lower(F.substring_index(t, "https://", 1))
     if not glue_lines:
         t = F.regexp_replace(t, r"\s", " ")
-    t = F.regexp_replace(t, r"[^\p{L}\p{N}_ ]", "")
-    t = F.regexp_replace(t, r"[^\x00-\x7F]+", " ")
-    tokens = without_words(F.split(t, " +"), ["", *words])
+    letters = F.regexp_replace(F.regexp_replace(t, r"[^\p{L}\p{N}_ ]+", ""), r"[^\x00-\x7F]+", " ")
+    t = _if_ascii(_col(text), F.regexp_replace(t, "[^a-z0-9_ ]+", ""), letters)
+    tokens = without_words(F.split(t, " "), ["", *words])
     return F.regexp_replace(F.array_join(tokens, " "), "[0-9]+", "")
 
 
@@ -81,18 +81,26 @@ def remove_stopwords(
     )
 
 
+def _if_ascii(text: Column, plain: Column, other: Column) -> Column:
+    """Cheaper expressions for texts whose bytes and characters are equal in number."""
+    return F.when(F.octet_length(text) == F.char_length(text), plain).otherwise(other)
+
+
 def tokens_of(text: str | Column, min_len: int = 2, max_len: int = 15) -> Column:
     """Lower-cased alphabetic runs without accents, of the given lengths.
 
     Digits end a run, and runs that start with an underscore are left out.
     """
-    accented, plain = accent_table()
-    t = F.translate(F.lower(_col(text)), accented, plain)
-    t = F.regexp_replace(t, r"\p{Mn}+", "")
-    runs = F.regexp_extract_all(t, F.lit(r"[\p{L}\p{Nl}\p{No}_]+"), F.lit(0))
-    return F.filter(
-        runs, lambda r: F.length(r).between(min_len, max_len) & ~r.startswith("_")
-    )
+    accented, base = accent_table()
+    t = F.lower(_col(text))
+    bare = F.regexp_replace(F.translate(t, accented, base), r"\p{Mn}+", "")
+
+    def runs(of: Column, letters: str) -> Column:
+        # A whole run: not part of a longer one, and the underscore only after the first letter.
+        pattern = f"(?<![{letters}_])[{letters}][{letters}_]{{{min_len - 1},{max_len - 1}}}+(?![{letters}_])"
+        return F.regexp_extract_all(of, F.lit(pattern), F.lit(0))
+
+    return _if_ascii(_col(text), runs(t, "a-z"), runs(bare, r"\p{L}\p{Nl}\p{No}"))
 
 
 def simple_tokens(
@@ -103,8 +111,11 @@ def simple_tokens(
 
 def word_tokens(text: str | Column) -> Column:
     """Lower-cased runs of two or more word characters, accents kept."""
-    return F.regexp_extract_all(
-        F.lower(_col(text)), F.lit(r"[\p{L}\p{N}_]{2,}"), F.lit(0)
+    t = F.lower(_col(text))
+    return _if_ascii(
+        _col(text),
+        F.regexp_extract_all(t, F.lit("[a-z0-9_]{2,}"), F.lit(0)),
+        F.regexp_extract_all(t, F.lit(r"[\p{L}\p{N}_]{2,}"), F.lit(0)),
     )
 
 

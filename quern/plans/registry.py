@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quern.common import spread
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -16,6 +18,10 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self._folder = spark, folder
 
+    def texts(self, *columns: str) -> DataFrame:
+        """Documents for work that is heavy per text, dealt out if they sit in too few splits."""
+        return spread(self.documents.select("doc_id", *columns), "doc_id")
+
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self._folder}/{name}.parquet")
 

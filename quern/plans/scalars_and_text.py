@@ -183,12 +183,12 @@ APART = f"SELECT doc_id, {_cleaned_sql(f'''regexp_replace({PLAIN}, '[{chr(92)}t{
 
 @query("clean_text", CLEANED)
 def _clean_text(t: Tables):
-    return text.clean_text(t.documents.select("doc_id", "lang", "text"), "text")
+    return text.clean_text(t.texts("lang", "text"), "text")
 
 
 @query("clean_text_lines_apart", APART)
 def _clean_text_lines_apart(t: Tables):
-    return text.clean_text(t.documents.select("doc_id", "text"), "text", glue_lines=False)
+    return text.clean_text(t.texts("text"), "text", glue_lines=False)
 
 
 def _words_sql(source: str, words, keep: str) -> str:
@@ -205,7 +205,7 @@ def _words_sql(source: str, words, keep: str) -> str:
         WHERE rank <= 15""",
 )
 def _top_words_by_language(t: Tables):
-    rows = text.clean_text(t.documents.select("lang", "text"), "text")
+    rows = text.clean_text(t.texts("lang", "text"), "text")
     counts = text.word_counts(rows, text.without_words(text.word_tokens("text"), CLOUD_EXTRA), ["lang"])
     return shape.top_n_per_group(counts, ["lang"], 15, "n", ["word"])
 
@@ -215,7 +215,7 @@ def _top_words_by_language(t: Tables):
     f"SELECT word, count(*) AS n FROM ({_words_sql('documents', ENGLISH, '')}) GROUP BY word ORDER BY n DESC, word LIMIT 15",
 )
 def _top_n_words(t: Tables):
-    return text.top_n_words(t.documents, "text")
+    return text.top_n_words(t.texts("text"), "text")
 
 
 @query(
@@ -226,7 +226,7 @@ def _top_n_words(t: Tables):
         WHERE rank <= 50""",
 )
 def _word_frequencies(t: Tables):
-    return text.word_frequencies(t.documents, "text", ["lang"], 50)
+    return text.word_frequencies(t.texts("lang", "text"), "text", ["lang"], 50)
 
 
 @query(
@@ -235,7 +235,7 @@ def _word_frequencies(t: Tables):
         GROUP BY word ORDER BY n DESC, word LIMIT 500""",
 )
 def _word_frequencies_overall(t: Tables):
-    return text.word_frequencies(t.documents, "text", n=500)
+    return text.word_frequencies(t.texts("text"), "text", n=500)
 
 
 # ---- tokens and phrases
@@ -246,7 +246,7 @@ TOKENS = r"""list_filter(regexp_extract_all(strip_accents(lower(text)), '[\p{L}\
 
 @query("simple_tokens", f"SELECT doc_id, array_to_string({TOKENS}, ' ') AS tokens FROM documents")
 def _simple_tokens(t: Tables):
-    rows = text.simple_tokens(t.documents.select("doc_id", "text"), "text")
+    rows = text.simple_tokens(t.texts("text"), "text")
     return rows.select("doc_id", F.array_join("tokens", " ").alias("tokens"))
 
 
@@ -256,7 +256,7 @@ def _simple_tokens(t: Tables):
         FROM documents""",
 )
 def _remove_stopwords(t: Tables):
-    rows = text.simple_tokens(t.documents.select("doc_id", "text"), "text")
+    rows = text.simple_tokens(t.texts("text"), "text")
     return text.remove_stopwords(rows, "tokens").select("doc_id", F.array_join("tokens", " ").alias("tokens"))
 
 
@@ -270,7 +270,7 @@ def _remove_stopwords(t: Tables):
           (SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS k FROM p ANTI JOIN s USING (w) GROUP BY doc_id) USING (doc_id)""",
 )
 def _remove_stopwords_by_table(t: Tables):
-    rows = text.simple_tokens(t.documents.select("doc_id", "text"), "text").select("doc_id", "tokens")
+    rows = text.simple_tokens(t.texts("text"), "text").select("doc_id", "tokens")
     listed_words = t.benchmark.select(F.explode(text.tokens_of("text")).alias("word"))
     kept = text.remove_stopwords(rows, "tokens", listed_words, "doc_id")
     return kept.select("doc_id", F.array_join("tokens", " ").alias("tokens"))
@@ -287,7 +287,7 @@ PHRASES = f"""WITH d AS (SELECT doc_id, {TOKENS} AS l FROM documents),
 
 @query("phrase_scores", f"{PHRASES} SELECT a, b, n, n_a, n_b, round(score, 5) AS score FROM f")
 def _phrase_scores(t: Tables):
-    rows = text.simple_tokens(t.documents.select("doc_id", "text"), "text")
+    rows = text.simple_tokens(t.texts("text"), "text")
     return text.phrase_scores(rows, "tokens").withColumn("score", F.round("score", 5))
 
 
@@ -302,7 +302,7 @@ MERGED = f"""{PHRASES},
 
 
 def _merged(t: Tables, limit: int):
-    rows = text.simple_tokens(t.documents.select("doc_id", "text"), "text").select("doc_id", "tokens")
+    rows = text.simple_tokens(t.texts("text"), "text").select("doc_id", "tokens")
     phrases = text.phrase_scores(rows, "tokens")
     merged = text.apply_phrases(rows, "tokens", phrases, "doc_id", limit)
     return merged.select("doc_id", F.array_join("tokens", " ").alias("tokens"))
@@ -331,7 +331,7 @@ def _lexicon(t: Tables):
         F.when(w.endswith("tion"), "NNS").when(w.endswith("ent"), "JJ").when(w.endswith("ed"), "VBD")
         .when(w.endswith("er"), "NN").otherwise("XX")
     )
-    words = t.documents.select(F.explode(text.tokens_of("text")).alias("word")).distinct()
+    words = t.texts("text").select(F.explode(text.tokens_of("text")).alias("word")).distinct()
     return words.select("word", F.regexp_replace(w, "tion$", "").alias("lemma"), tag.alias("tag"))
 
 
@@ -343,7 +343,7 @@ def _lexicon(t: Tables):
         FROM p WHERE {TAGS} IN ('NN', 'NNS', 'JJ') GROUP BY doc_id""",
 )
 def _lexicon_filter(t: Tables):
-    rows = text.simple_tokens(t.documents.select("doc_id", "text"), "text")
+    rows = text.simple_tokens(t.texts("text"), "text")
     kept = text.lexicon_filter(rows, "doc_id", "tokens", _lexicon(t), ["NN", "JJ"])
     return kept.select("doc_id", F.array_join("tokens", " ").alias("tokens"))
 
@@ -363,7 +363,7 @@ def _scored(t: Tables):
         F.when(w.endswith("tion"), 1.5).when(w.endswith("ent"), -1.25).when(w.endswith("ed"), 0.5).when(w.endswith("er"), -0.75)
     )
     lexicon = _lexicon(t).select("word", valence.alias("valence")).filter(F.col("valence").isNotNull())
-    return text.sentiment(t.documents, "doc_id", text.tokens_of("text"), lexicon)
+    return text.sentiment(t.texts("text"), "doc_id", text.tokens_of("text"), lexicon)
 
 
 @query("sentiment", SENTIMENT)

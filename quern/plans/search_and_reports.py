@@ -20,12 +20,12 @@ from quern.streaming import feeds
        FROM documents, unnest(range(ceil(length(text) / 300.0)::BIGINT)) r(i)""",
 )
 def _chunk_fixed(t: Tables):
-    return retrieve.chunk_fixed(t.documents.select("doc_id", "text"), "text")
+    return retrieve.chunk_fixed(t.texts("text"), "text")
 
 
 @query("chunk_overlap")
 def _chunk_overlap(t: Tables):
-    return retrieve.chunk_overlap(t.documents.select("doc_id", "text"), "text")
+    return retrieve.chunk_overlap(t.texts("text"), "text")
 
 
 # ---- vectors; the questions are the mean vectors of the classes

@@ -15,7 +15,7 @@ from quern.plans.scalars_and_text import TOKENS, listed
 
 
 def _tokens(t: Tables, *keep: str) -> DataFrame:
-    return text.simple_tokens(t.documents, "text").select("doc_id", *keep, "tokens")
+    return text.simple_tokens(t.texts(*keep, "text"), "text").select("doc_id", *keep, "tokens")
 
 
 DOCS = f"WITH d AS (SELECT doc_id, lang, {TOKENS} AS l FROM documents)"
