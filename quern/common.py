@@ -5,8 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Rows up to this count may be sent to every executor or held by the driver.
@@ -75,29 +76,25 @@ def with_row_number(
     """Number all rows by ``order`` without passing them through one task.
 
     Rows are range-partitioned and sorted, stored with their place inside the partition, and
-    shifted by the row counts of the partitions before. Only one count per partition goes through
-    a single window. ``order`` should end in a unique column, so that a frequent value in the
-    leading column is spread over several ranges.
+    shifted by the row counts of the partitions before. Only those counts, one per partition, come
+    to the driver. ``order`` should end in a unique column, so that a frequent value in the leading
+    column is spread over several ranges.
     """
     placed = materialize(
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_place", F.monotonically_increasing_id()),
         "ranked",
-    ).withColumn("_part", F.shiftright("_place", 33))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy("_part")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    )
-    # One row per range partition: bounded by spark.sql.shuffle.partitions.
-    inside = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
-    return (
-        placed.join(F.broadcast(offsets), "_part")
-        .withColumn(name, F.col("_offset") + inside + F.lit(start))
-        .drop("_part", "_place", "_offset")
     )
+    part, inside = F.shiftright("_place", 33), F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = {r["p"]: r["count"] for r in placed.groupBy(part.alias("p")).count().collect()}
+    offsets = [start]
+    for p in range(max(counts, default=0)):
+        offsets.append(offsets[-1] + counts.get(p, 0))
+    # A constant array: the plan keeps the measured size of the stored table.
+    shift = F.split(F.lit(",".join(map(str, offsets))), ",").cast("array<bigint>")
+    number = F.element_at(shift, (part + 1).cast("int")) + inside
+    return placed.withColumn(name, number).drop("_place")
 
 
 def with_group_row_number(
@@ -105,18 +102,16 @@ def with_group_row_number(
 ) -> DataFrame:
     """Zero-based place of each row inside its group, also when one group holds most rows.
 
-    A window per group would sort a hot group in one task; here all rows are ranked together
-    and the first rank of the group is subtracted.
+    A window per group would sort a hot group in one task; here all rows are ranked together and
+    the first rank of the group is subtracted. The first ranks are stored, so that Catalyst broadcasts
+    them by their measured size, or joins them with skew handling.
     """
     ranked = with_row_number(df, [*[F.col(c) for c in group], *order], "_rank")
-    firsts = ranked.groupBy(*group).agg(F.min("_rank").alias("_first"))
+    firsts = materialize(ranked.groupBy(*group).agg(F.min("_rank").alias("_first")), "firsts")
     keys = [F.col(f"r.{c}").eqNullSafe(F.col(f"f.{c}")) for c in group]
-    condition = keys[0]
-    for extra in keys[1:]:
-        condition = condition & extra
     return (
         ranked.alias("r")
-        .join(firsts.alias("f"), condition)
+        .join(firsts.alias("f"), reduce(lambda a, b: a & b, keys))
         .select("r.*", (F.col("_rank") - F.col("f._first")).alias(name))
         .drop("_rank")
     )

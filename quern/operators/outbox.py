@@ -198,20 +198,24 @@ def outbox(
     group: str,
     attachments: DataFrame | None = None,
     key: str = "message_id",
+    files_per_message: int = 10,
 ) -> DataFrame:
-    """Outbox rows ``(key, sender, state, payload)``; a rejected message keeps no payload.
+    """Outbox rows ``(key, message_no, sender, state, payload)``; a rejected message keeps no payload.
 
-    Attachments are grouped per message, whose files are bounded by ``table_attachment``.
+    A request with more than ``files_per_message`` attachments becomes several numbered messages, so
+    that no payload grows without bound and no file is left out.
     """
     files = None
-    if attachments is not None:
-        listed = attachments.groupBy(key).agg(
+    if attachments is None:
+        requests = requests.withColumn("message_no", F.lit(0))
+    else:
+        listed = attachments.groupBy(key, F.floor(F.col("part_no") / files_per_message).cast("int").alias("_no")).agg(
             F.transform(
                 F.array_sort(F.collect_list(F.struct("part_no", "attachment"))), lambda s: s["attachment"]
             ).alias("files")
         )
-        requests, files = requests.join(listed, key, "left"), "files"
+        requests = requests.join(listed, key, "left").withColumn("message_no", F.coalesce("_no", F.lit(0)))
+        files = "files"
     built = build_messages(allowed_senders(requests, groups, members, group), files)
-    return built.select(
-        key, "sender", "state", F.when(F.col("state") == "ready", F.col("payload")).alias("payload")
-    )
+    payload = F.when(F.col("state") == "ready", F.col("payload")).alias("payload")
+    return built.select(key, "message_no", "sender", "state", payload)

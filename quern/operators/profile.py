@@ -305,26 +305,20 @@ def schema_info(df: DataFrame) -> DataFrame:
     ).select("_r.*", "n_rows", F.lit(len(fields)).alias("n_columns"))
 
 
-def _with_total(counts: DataFrame) -> Column:
-    """Sum of ``n`` as a scalar subquery over the counts, which are small and shared."""
-    return counts.agg(F.sum("n")).scalar()
-
-
 def top_value_share(df: DataFrame, col: str, n: int = 20) -> DataFrame:
-    """The ``n`` commonest values with their percentage of all rows, nulls included in the total."""
-    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    return (
-        counts.filter(F.col(col).isNotNull())
-        .orderBy(F.desc("n"), col)
-        .limit(n)
-        .withColumn("percent", F.col("n") * 100.0 / _with_total(counts))
-    )
+    """The ``n`` commonest values with their percentage of all rows, nulls included in the total.
+
+    The total is a scalar subquery that counts without reading any column.
+    """
+    counts = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    total = df.agg(F.count(F.lit(1))).scalar()
+    return counts.orderBy(F.desc("n"), col).limit(n).withColumn("percent", F.col("n") * 100.0 / total)
 
 
 def class_share(df: DataFrame, col: str) -> DataFrame:
     """Counts of all classes and their share of the non-null total."""
     counts = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumn("share", F.col("n") / _with_total(counts))
+    return counts.withColumn("share", F.col("n") / df.agg(F.count(col)).scalar())
 
 
 def category_counts(df: DataFrame, col: str) -> DataFrame:

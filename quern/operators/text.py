@@ -253,13 +253,15 @@ def lexicon_filter(
 ) -> DataFrame:
     """Words whose tag is allowed, replaced by their lemma, in text order.
 
-    ``lexicon(word, lemma, tag)`` joins on the word; Catalyst broadcasts it when its size allows.
+    ``lexicon(word, lemma, tag)`` joins on the word. Its allowed part is stored first, so that
+    Catalyst broadcasts it by its measured size, or splits frequent words in a sort-merge join.
     Tags match by their beginning, so ``NN`` also allows ``NNS``.
     """
     allowed = F.lit(False)
     for tag in tags:
         allowed = allowed | F.col("tag").startswith(tag)
     kept = lexicon.filter(allowed).groupBy("word").agg(F.min("lemma").alias("lemma"))
+    kept = materialize(kept, "lexicon")
     return (
         df.select(key, F.posexplode(tokens).alias("_pos", "word"))
         .join(kept, "word")
@@ -278,10 +280,11 @@ def sentiment(
     Each task sums its texts before the shuffle, and texts without a listed word stay Neutral.
     """
     words = df.select(key, F.explode_outer(tokens).alias("word"))
+    listed = materialize(lexicon.select("word", F.col(valence).alias("_v")), "lexicon")
     s = F.col("_s")
     label = F.when(s > 0, "Positive").when(s < 0, "Negative").otherwise("Neutral")
     return (
-        words.join(lexicon.select("word", F.col(valence).alias("_v")), "word", "left")
+        words.join(listed, "word", "left")
         .groupBy(key)
         .agg(F.coalesce(F.sum("_v"), F.lit(0.0)).alias("_s"))
         .select(key, F.round(s / F.sqrt(s * s + 15), 4).alias("compound"), label.alias("sentiment"))

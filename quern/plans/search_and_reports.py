@@ -290,7 +290,7 @@ ATTACHED = """',"attachments":[{"@odata.type":"#microsoft.graph.fileAttachment",
 
 @query(
     "outbox",
-    f"""SELECT c_custkey AS message_id, n_name AS sender, CASE WHEN r_name = 'EUROPE' THEN 'ready' ELSE 'rejected' END AS state,
+    f"""SELECT c_custkey AS message_id, 0 AS message_no, n_name AS sender, CASE WHEN r_name = 'EUROPE' THEN 'ready' ELSE 'rejected' END AS state,
                CASE WHEN r_name = 'EUROPE' THEN {PAYLOAD} || coalesce({ATTACHED}, ''){END} END AS payload
         FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
         LEFT JOIN (SELECT o_custkey, string_agg(o_orderkey || ',' || o_orderstatus, chr(10) ORDER BY o_orderkey) AS rows

@@ -277,14 +277,22 @@ def _regression_metrics(t: Tables):
 
 
 # Hold-out quality of the per-site lines: fit on one part, score on the other.
-@query("holdout_quality")
+@query(
+    "holdout_quality",
+    f"""WITH s AS (SELECT event_type, value, {DAY} AS x, substr(md5('42:' || event_id::VARCHAR), 1, 8) < '33333333' AS test FROM events),
+         m AS (SELECT event_type, regr_slope(value, x - 737000) AS a, regr_intercept(value, x - 737000) AS b FROM s WHERE NOT test GROUP BY event_type),
+         p AS (SELECT event_type, value, b + a * (x - 737000) AS fitted FROM s JOIN m USING (event_type) WHERE test)
+       SELECT event_type, round(avg(abs(value - fitted)), 5) AS mae, round(avg((value - fitted) ** 2), 4) AS mse,
+              round(100 * (1 - avg((value - fitted) ** 2) / var_pop(value)), 5) AS r2_percent FROM p GROUP BY event_type""",
+)
 def _holdout_quality(t: Tables):
     rows = predict.split_train_test(t.events, "event_id")
     model = predict.linear_fit(rows.filter("part = 'train'"), "event_type", date_ordinal("ts"), "value")
     scored = rows.filter("part = 'test'").join(model, "event_type").withColumn(
         "predicted", F.col("intercept") + F.col("slope") * date_ordinal("ts")
     )
-    return predict.regression_metrics(scored, "value", "predicted", ["event_type"])
+    found = predict.regression_metrics(scored, "value", "predicted", ["event_type"])
+    return found.withColumns({"mae": F.round("mae", 5), "mse": F.round("mse", 4), "r2_percent": F.round("r2_percent", 5)})
 
 
 @query("boosted_regression")
@@ -335,14 +343,30 @@ def _softmax_regression(t: Tables):
     )
 
 
-@query("scored_confidence")
-def _scored_confidence(t: Tables):
+@query("class_probabilities")
+def _class_probabilities(t: Tables):
     rows = _sizes(t)
-    model = predict.softmax_regression(rows, SCALED, "label")
+    model = predict.boosted_classifier(rows, SCALED, "label", depth=3, step=0.3, rounds=3)
     shares = predict.class_probabilities(model, rows, SCALED)
     return scored_confidence(shares, "probability").select("p_partkey", "class_index", "confidence")
 
 
+# Shares of the order status of each customer.
+@query(
+    "scored_confidence",
+    """WITH c AS (SELECT c_custkey, count(*) FILTER (o_orderstatus = 'F') AS f, count(*) FILTER (o_orderstatus = 'O') AS o,
+                         count(*) FILTER (o_orderstatus = 'P') AS p FROM (SELECT o_custkey AS c_custkey, o_orderstatus FROM orders) GROUP BY c_custkey)
+       SELECT c_custkey, CASE greatest(f, o, p) WHEN f THEN 0 WHEN o THEN 1 ELSE 2 END AS class_index,
+              round(100.0 * greatest(f, o, p) / (f + o + p), 1) AS confidence FROM c""",
+)
+def _scored_confidence(t: Tables):
+    counts = [F.count_if(F.col("o_orderstatus") == s) for s in ("F", "O", "P")]
+    rows = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.array(*[c / F.count(F.lit(1)) for c in counts]).alias("probability")
+    )
+    return scored_confidence(rows, "probability").drop("probability")
+
+
 @query(
     "stratified_folds",
     """WITH c AS (SELECT p_type, count(*) AS n, min(p_partkey) AS first FROM part GROUP BY p_type),

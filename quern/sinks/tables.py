@@ -10,11 +10,12 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.common import shared_dir
+from quern.common import broadcast_if_small, materialize, shared_dir
 
 
 def _versions(spark: SparkSession, db: str, table: str) -> list[int]:
@@ -56,19 +57,17 @@ def load_table(df: DataFrame, db: str, table: str, merge_schema: bool = False) -
 def upsert_rows(stored: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Stored rows with those of equal key replaced, and new keys added.
 
-    Keys match null-safely. Repeated incoming keys raise. They are found in the aggregate that
-    also feeds the anti join: only key columns travel, counted before the shuffle.
+    Keys match null-safely and repeated incoming keys raise. Only the incoming keys meet the stored
+    table: they are written once and counted, and a batch of moderate size is broadcast, so that the
+    stored table is not shuffled.
     """
     names = list(keys)
-    # The check is part of a column that the join condition uses, so it cannot be pruned.
-    repeated = F.raise_error(F.lit(f"incoming rows repeat a key in {names}")).cast("boolean")
-    seen = incoming.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
-    seen = seen.filter(F.when(F.col("_n") > 1, repeated).otherwise(F.lit(True))).drop("_n")
-    match = None
-    for k in names:
-        same = F.col(f"s.`{k}`").eqNullSafe(F.col(f"i.`{k}`"))
-        match = same if match is None else match & same
-    kept = stored.alias("s").join(seen.alias("i"), match, "left_anti")
+    seen = materialize(incoming.groupBy(*names).agg(F.count(F.lit(1)).alias("_n")), "keys")
+    if not seen.filter("_n > 1").isEmpty():
+        raise ValueError(f"incoming rows repeat a key in {names}")
+    match = reduce(lambda a, b: a & b, [F.col(f"s.`{k}`").eqNullSafe(F.col(f"i.`{k}`")) for k in names])
+    few = broadcast_if_small(seen.drop("_n"), 1_000_000)
+    kept = stored.alias("s").join(few.alias("i"), match, "left_anti")
     return kept.unionByName(incoming, allowMissingColumns=True)
 
 

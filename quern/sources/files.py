@@ -82,7 +82,7 @@ def read_json_any(
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"), F.trim("value").alias("line")
     )
-    whole_line = F.col("line").startswith("{") & F.json_object_keys("line").isNotNull()
+    whole_line = F.col("line").startswith("{") & F.get_json_object("line", "$").isNotNull()
     kinds = (
         lines.filter(F.col("line") != "")
         .groupBy("file")

@@ -5,9 +5,11 @@ from __future__ import annotations
 import struct
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.common import with_row_number
+
 # Suffixes accepted as images.
 IMAGE_SUFFIXES = (".png", ".jpg", ".jpeg", ".bmp", ".tiff", ".webp")
 
@@ -99,14 +101,11 @@ def read_images(spark: SparkSession, path: str) -> DataFrame:
 def class_folders(files: DataFrame, path_col: str = "path") -> DataFrame:
     """Add ``label`` (parent folder) and ``label_index`` (place among the sorted labels).
 
-    The class list has one row per folder, and only the paths are read to find it.
+    Only the paths are read to list the classes.
     """
     labelled = files.withColumn("label", F.regexp_extract(path_col, "([^/]+)/[^/]+$", 1))
-    classes = labelled.select("label").distinct()
-    index = classes.select(
-        "label", (F.dense_rank().over(Window.orderBy("label")) - 1).alias("label_index")
-    )
-    return labelled.join(index, "label")
+    classes = with_row_number(labelled.select("label").distinct(), ["label"], "label_index")
+    return labelled.join(classes.withColumn("label_index", F.col("label_index").cast("int")), "label")
 
 
 def read_class_folders(spark: SparkSession, path: str) -> DataFrame:
