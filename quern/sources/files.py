@@ -96,7 +96,7 @@ def read_json_any(
     if by_line:
         parts.append(spark.read.schema(_as_text(schema)).option("mode", "FAILFAST").json(by_line))
     if whole:
-        docs = spark.read.option("wholetext", True).text(whole)
+        docs = spark.read.text(whole, wholetext=True)
         parts.append(json_documents(docs, schema, "value", wrap_keys))
     if not parts:
         raise ValueError(f"unable to parse JSON: {path}")
