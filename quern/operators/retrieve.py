@@ -262,6 +262,7 @@ def nearest_approx(
     """
     s = _renamed(store, store_id, vec, None)
     q = _renamed(queries, query_id, vec, None)
+    # Fitting draws the random directions and only needs the width of a vector.
     hasher = BucketedRandomProjectionLSH(
         inputCol="_v", outputCol="_h", bucketLength=bucket_length, numHashTables=tables, seed=seed
     ).fit(s.limit(1).withColumn("_v", array_to_vector("vec")))

@@ -18,6 +18,16 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def each_token(df: DataFrame, tokens: str | Column, keep: Sequence[str] = (), pos: bool = False) -> DataFrame:
+    """One row per token in column ``word``, with its place in ``pos`` if wanted.
+
+    The outer form, with the empty rows dropped afterwards: for the inner one Catalyst puts a filter on
+    the size of the array below, and computes the tokens a second time for it.
+    """
+    token = F.posexplode_outer(tokens).alias("pos", "word") if pos else F.explode_outer(tokens).alias("word")
+    return df.select(*keep, token).filter(F.col("word").isNotNull())
+
+
 def without_words(tokens: Column, words: Sequence[str]) -> Column:
     """Tokens not in the list, in order; the list becomes a hash set inside the expression."""
     return F.filter(tokens, lambda t: ~t.isin(*words))
@@ -63,19 +73,19 @@ def remove_stopwords(
     """
     if not isinstance(words, DataFrame):
         return df.withColumn(tokens, without_words(F.col(tokens), words))
-    listed = words.select(F.col(words.columns[0]).alias("_w")).distinct()
+    listed = materialize(words.select(F.col(words.columns[0]).alias("word")).distinct(), "words")
     kept = (
-        df.select(key, F.posexplode(tokens).alias("_pos", "_w"))
-        .join(listed, "_w", "left_anti")
+        each_token(df, tokens, [key], pos=True)
+        .join(listed, "word", "left_anti")
         .groupBy(key)
-        .agg(F.array_sort(F.collect_list(F.struct("_pos", "_w"))).alias("_kept"))
+        .agg(F.array_sort(F.collect_list(F.struct("pos", "word"))).alias("_kept"))
     )
     return (
         df.drop(tokens)
         .join(kept, key, "left")
         .withColumn(
             tokens,
-            F.coalesce(F.transform("_kept", lambda s: s["_w"]), F.array().cast("array<string>")),
+            F.coalesce(F.transform("_kept", lambda s: s["word"]), F.array().cast("array<string>")),
         )
         .drop("_kept")
     )
@@ -122,7 +132,7 @@ def word_tokens(text: str | Column) -> Column:
 def word_counts(df: DataFrame, tokens: Column, group: Sequence[str] = ()) -> DataFrame:
     """Counts by group and word, combined in each task before the shuffle."""
     return (
-        df.select(*group, F.explode(tokens).alias("word"))
+        each_token(df, tokens, group)
         .groupBy(*group, "word")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -151,19 +161,15 @@ def word_frequencies(
 
 
 def pair_counts(df: DataFrame, tokens: str) -> DataFrame:
-    """``(a, b, n)`` for words (``b`` null) and adjacent pairs, from one shuffle of partial counts."""
+    """``(a, b, n)`` for every word and its right neighbour; the last word has none.
+
+    One row per token, combined in each task before the only shuffle.
+    """
     t = F.col(tokens)
-    pairs = F.transform(
-        F.arrays_zip(
-            F.slice(t, 1, F.greatest(F.size(t) - 1, F.lit(0))).alias("a"),
-            F.slice(t, 2, F.greatest(F.size(t) - 1, F.lit(0))).alias("b"),
-        ),
-        lambda s: F.struct(s["a"].alias("a"), s["b"].alias("b")),
-    )
-    singles = F.transform(t, lambda w: F.struct(w.alias("a"), F.lit(None).cast("string").alias("b")))
+    beside = F.arrays_zip(t.alias("a"), F.slice(t, 2, F.greatest(F.size(t), F.lit(1))).alias("b"))
     return (
-        df.select(F.explode(F.concat(singles, pairs)).alias("_p"))
-        .select("_p.*")
+        df.select(F.explode(beside).alias("_p"))
+        .select("_p.a", "_p.b")
         .groupBy("a", "b")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -175,18 +181,20 @@ def phrase_scores(
     """Adjacent pairs that occur together more often than their words suggest.
 
     score = (n_ab - min_count) / n_a / n_b * vocabulary size, where the vocabulary holds words and
-    pairs; kept above the threshold. The texts are read once: the counts of distinct words and pairs
-    are written, and all joins run over them.
+    pairs; kept above the threshold. The texts are read once: the pair counts are written, the word
+    counts are their sums, and all joins run over these two tables.
     """
     counts = materialize(pair_counts(df, tokens), "pairs")
-    singles = counts.filter(F.col("b").isNull())
-    pairs = counts.filter(F.col("b").isNotNull() & (F.col("n") >= min_count))
-    vocabulary = counts.agg(F.count(F.lit(1))).scalar()
+    words = materialize(counts.groupBy("a").agg(F.sum("n").alias("n")), "words")
+    pairs = counts.filter(F.col("b").isNotNull())
+    vocabulary = pairs.count() + words.count()
     scored = (
-        pairs.join(singles.select("a", F.col("n").alias("n_a")), "a")
-        .join(singles.select(F.col("a").alias("b"), F.col("n").alias("n_b")), "b")
+        # A pair seen no more than min_count times scores zero at best.
+        pairs.filter((F.col("n") > min_count) if threshold >= 0 else (F.col("n") >= min_count))
+        .join(words.select("a", F.col("n").alias("n_a")), "a")
+        .join(words.select(F.col("a").alias("b"), F.col("n").alias("n_b")), "b")
         .withColumn(
-            "score", (F.col("n") - min_count) / F.col("n_a") / F.col("n_b") * vocabulary
+            "score", (F.col("n") - min_count) / F.col("n_a") / F.col("n_b") * F.lit(vocabulary)
         )
     )
     return scored.filter(F.col("score") > threshold).select("a", "b", "n", "n_a", "n_b", "score")
@@ -263,10 +271,10 @@ def lexicon_filter(
     kept = lexicon.filter(allowed).groupBy("word").agg(F.min("lemma").alias("lemma"))
     kept = materialize(kept, "lexicon")
     return (
-        df.select(key, F.posexplode(tokens).alias("_pos", "word"))
+        each_token(df, tokens, [key], pos=True)
         .join(kept, "word")
         .groupBy(key)
-        .agg(F.array_sort(F.collect_list(F.struct("_pos", "lemma"))).alias("_w"))
+        .agg(F.array_sort(F.collect_list(F.struct("pos", "lemma"))).alias("_w"))
         .select(key, F.transform("_w", lambda s: s["lemma"]).alias(tokens))
     )
 

@@ -7,7 +7,7 @@ from collections.abc import Iterator, Mapping, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import LDA, LDAModel
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 
 from quern.common import materialize, with_row_number
 from quern.operators.shape import argmax_index, top_n_per_group
+from quern.operators.text import each_token, word_counts
 
 EPSILON = 1e-12
 
 
 def vocabulary(df: DataFrame, tokens: str, key: str) -> DataFrame:
     """``(word, df, word_id)``: ids by falling document count, then by word."""
-    words = df.select(key, F.explode(F.array_distinct(tokens)).alias("word"))
+    words = each_token(df, F.array_distinct(tokens))
     counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
     return with_row_number(counts, [F.desc("df"), "word"], "word_id")
 
@@ -33,9 +34,7 @@ def bag_of_words(df: DataFrame, tokens: str, key: str, vocab: DataFrame | None =
     Counts are combined inside each task, where all words of a text meet, so only distinct words
     of a text are shuffled.
     """
-    counts = (
-        df.select(key, F.explode(tokens).alias("word")).groupBy(key, "word").agg(F.count(F.lit(1)).alias("n"))
-    )
+    counts = each_token(df, tokens, [key]).groupBy(key, "word").agg(F.count(F.lit(1)).alias("n"))
     if vocab is None:
         return counts
     return counts.join(vocab.select("word", "word_id"), "word").select(key, "word_id", "n")
@@ -44,8 +43,12 @@ def bag_of_words(df: DataFrame, tokens: str, key: str, vocab: DataFrame | None =
 def count_vectors(
     df: DataFrame, tokens: str, max_features: int = 40_000, name: str = "features"
 ) -> tuple[DataFrame, CountVectorizerModel]:
-    """Sparse count vectors over the ``max_features`` commonest words; the model holds only words."""
-    model = CountVectorizer(inputCol=tokens, outputCol=name, vocabSize=max_features).fit(df)
+    """Sparse count vectors over the ``max_features`` commonest words, ties broken by the word.
+
+    Only that bounded list of words comes to the driver.
+    """
+    best = word_counts(df, F.col(tokens)).orderBy(F.desc("n"), "word").limit(max_features).collect()
+    model = CountVectorizerModel.from_vocabulary([r["word"] for r in best], inputCol=tokens, outputCol=name)
     return model.transform(df), model
 
 
@@ -111,54 +114,56 @@ def cooccurrence_counts(
     """``(topic, a, b, n)``: windows that hold both words, where ``a = b`` counts the word alone.
 
     ``window`` words slide by one; a shorter text is one window, and ``None`` takes whole texts. The
-    row with topic -1 counts all windows. A task adds up one small table over all its texts and
-    emits it once, so neither texts nor windows are shuffled.
+    row with topic -1 counts all windows. Only the places of topic words leave the JVM. A task adds up
+    one small table over all its texts and emits it once, so neither texts nor windows are shuffled.
     """
     words = sorted({w for ws in topics.values() for w in ws})
-    place = {w: i for i, w in enumerate(words)}
-    # Only words shared by a topic are compared, so the table is cut into topics.
-    members = {t: np.array([place[w] for w in ws], dtype=np.int64) for t, ws in topics.items()}
-
-    def add_text(text: Sequence[str], totals: dict, seen: list) -> None:
-        size = len(text)
-        if size == 0:
-            return
-        span = size if window is None else min(window, size)
-        count = size - span + 1
-        seen[0] += count
-        hits: dict[int, list[int]] = {}
-        for at, word in enumerate(text):
-            if word in place:
-                hits.setdefault(place[word], []).append(at)
-        inside = {}
-        for word, at in hits.items():
-            edge = np.zeros(count + 1, dtype=np.int64)
-            at = np.array(at)
-            np.add.at(edge, np.maximum(at - span + 1, 0), 1)
-            np.add.at(edge, np.minimum(at + 1, count), -1)
-            inside[word] = np.cumsum(edge[:-1]) > 0
-        for topic, ids in members.items():
-            present = [j for j, word in enumerate(ids) if word in inside]
-            if present:
-                cover = np.array([inside[ids[j]] for j in present], dtype=np.float64)
-                totals[topic][np.ix_(present, present)] += cover @ cover.T
+    width = len(words)
+    # Only words of one topic are compared, so there is one small table per topic.
+    members = {t: np.array([words.index(w) for w in ws], dtype=np.int64) for t, ws in topics.items()}
+    known = F.array(*[F.lit(w) for w in words])
+    marked = F.filter(
+        F.transform(tokens, lambda w, i: F.struct(w.alias("w"), i.cast("bigint").alias("i"))),
+        lambda s: s["w"].isin(*words),
+    )
+    # Place and word of a hit in one number.
+    hits = F.transform(marked, lambda s: s["i"] * width + F.array_position(known, s["w"]) - 1)
+
+    def covered(at: np.ndarray, span: int, windows: int) -> np.ndarray:
+        """Which windows hold a word that stands at the places ``at``."""
+        edge = np.bincount(np.maximum(at - span + 1, 0), minlength=windows + 1)
+        edge -= np.bincount(np.minimum(at + 1, windows), minlength=windows + 1)
+        return np.cumsum(edge[:windows]) > 0
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         totals = {t: np.zeros((len(ids), len(ids))) for t, ids in members.items()}
-        seen = [0]
+        seen = 0
         for batch in batches:
-            for text in batch["_t"]:
-                if text is not None:
-                    add_text(text, totals, seen)
-        rows = [(-1, None, None, seen[0])]
+            for size, codes in zip(batch["size"], batch["hits"]):
+                if size < 1:
+                    continue
+                span = size if window is None else min(window, size)
+                windows = size - span + 1
+                seen += windows
+                at, word = np.divmod(np.asarray(codes, dtype=np.int64), width)
+                order = np.argsort(word, kind="stable")
+                found, starts = np.unique(word[order], return_index=True)
+                places = np.split(at[order], starts[1:])
+                inside = {w: covered(p, span, windows) for w, p in zip(found, places)}
+                for topic, ids in members.items():
+                    present = [j for j, w in enumerate(ids) if w in inside]
+                    if present:
+                        cover = np.array([inside[ids[j]] for j in present], dtype=np.float64)
+                        totals[topic][np.ix_(present, present)] += cover @ cover.T
+        rows = [(-1, None, None, seen)]
         for topic, table in totals.items():
             names = topics[topic]
-            for i, j in zip(*np.nonzero(table)):
-                if i <= j:
-                    rows.append((topic, names[i], names[j], int(table[i, j])))
+            rows += [(topic, names[i], names[j], int(table[i, j])) for i, j in zip(*np.nonzero(table)) if i <= j]
         yield pd.DataFrame(rows, columns=["topic", "a", "b", "n"])
 
-    partial = df.select(F.col(tokens).alias("_t")).mapInPandas(count, "topic int, a string, b string, n bigint")
+    # Empty texts are skipped by the tasks: a filter here would compute the tokens twice.
+    texts = df.select(F.coalesce(F.size(tokens), F.lit(0)).alias("size"), hits.alias("hits"))
+    partial = texts.mapInPandas(count, "topic int, a string, b string, n bigint")
     return partial.groupBy("topic", "a", "b").agg(F.sum("n").alias("n"))
 
 

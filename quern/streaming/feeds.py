@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from quern.operators.predict import SIZES, feedback_update
 from quern.sinks.tables import upsert_table
@@ -38,7 +37,10 @@ def feedback_stream(
     def training() -> DataFrame:
         try:
             users = spark.read.schema(schema).parquet(f"{store}/batch=*")
-        except AnalysisException:
+        except AnalysisException as error:
+            # Nothing has landed yet; any other fault is passed on.
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             users = spark.createDataFrame([], schema)
         return feedback_update(base, users, classes=classes)
 
