@@ -9,7 +9,7 @@ from quern.common import materialize
 from quern.functions.scalars import date_ordinal, scored_confidence
 from quern.operators import predict, shape, text, topics
 from quern.plans.registry import Tables, query, sql_list
-from quern.plans.scalars_and_text import TOKENS, listed
+from quern.plans.scalars_and_text import TOKENS
 
 # ---- bags of words
 
