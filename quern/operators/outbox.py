@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.common import with_group_row_number
+from quern.common import materialize, with_group_row_number
 from quern.functions.scalars import file_ext, previous_month_name
 from quern.sources.workbooks import workbook_bytes
 
@@ -40,23 +40,20 @@ def allowed_senders(
     """Add ``state``: ``ready`` for members of the named group, else ``rejected``.
 
     The first group of that display name counts, and a missing group raises. With a table of
-    ``users``, senders it does not list are ``unknown``. Messages stay whole: a frequent sender meets a
-    single member row.
+    ``users``, senders it does not list are ``unknown``. The lists are stored with one row per person,
+    so that Catalyst broadcasts them by their measured size and the messages stay where they are.
     """
     found = groups.filter(F.col("display_name") == group).agg(F.min("group_id")).scalar()
     missing = F.raise_error(F.lit(f"no group named {group!r}"))
     wanted = F.coalesce(found, missing.cast(groups.schema["group_id"].dataType))
-    inside = (
-        members.filter(F.col("group_id") == wanted)
-        .select(F.col("user").alias(sender))
-        .distinct()
-        .withColumn("_in", F.lit(True))
-    )
-    out = messages.join(inside, sender, "left")
+
+    def people(rows: DataFrame, mark: str) -> DataFrame:
+        return materialize(rows.select(F.col("user").alias(sender)).distinct(), mark).withColumn(mark, F.lit(True))
+
+    out = messages.join(people(members.filter(F.col("group_id") == wanted), "_in"), sender, "left")
     state = F.when(F.col("_in"), "ready").otherwise("rejected")
     if users is not None:
-        known = users.select(F.col("user").alias(sender)).distinct().withColumn("_known", F.lit(True))
-        out = out.join(known, sender, "left")
+        out = out.join(people(users, "_known"), sender, "left")
         state = F.when(F.col("_known").isNull(), "unknown").otherwise(state)
         return out.withColumn("state", state).drop("_in", "_known")
     return out.withColumn("state", state).drop("_in")

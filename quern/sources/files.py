@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,42 +69,52 @@ def json_documents(
     return docs.select(*kept, F.explode(rows).alias("_row")).select(*kept, "_row.*")
 
 
+def _files_by_shape(spark: SparkSession, path: str | list[str]) -> tuple[list[str], list[str]]:
+    """Files with one object per line, and files that are one document.
+
+    In a valid document over several lines not every line both opens and closes with a brace, so no
+    JSON has to be parsed to tell them apart. One row per file comes back, as in the driver's own listing.
+    """
+    line = F.trim("value")
+    whole_line = line.startswith("{") & line.endswith("}")
+    kinds = (
+        spark.read.text(path)
+        .select(F.col("_metadata.file_path").alias("file"), whole_line.alias("whole"), line.alias("line"))
+        .filter(F.col("line") != "")
+        .groupBy("file")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("whole").alias("whole"))
+        .collect()
+    )
+    by_line = [r["file"] for r in kinds if r["whole"] and r["n"] > 1]
+    return by_line, [r["file"] for r in kinds if not (r["whole"] and r["n"] > 1)]
+
+
 def read_json_any(
     spark: SparkSession,
     path: str | list[str],
     schema: T.StructType | str,
     wrap_keys: Sequence[str] = ("data", "results", "items"),
+    shape: str | None = None,
 ) -> DataFrame:
     """JSON files holding record lists, one record per line, wrapped lists or a single object.
 
-    One pass over the lines finds the files in which every line is an object of its own; these
-    are read by the splittable line reader. The others are documents and are parsed whole.
+    Files with an object on every line go to the splittable line reader, the others are parsed as
+    documents. ``shape="lines"`` or ``"documents"`` says what all files hold and saves the pass that
+    looks.
     """
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.trim("value").alias("line")
-    )
-    whole_line = F.col("line").startswith("{") & F.get_json_object("line", "$").isNotNull()
-    kinds = (
-        lines.filter(F.col("line") != "")
-        .groupBy("file")
-        .agg(F.count(F.lit(1)).alias("lines"), F.min(whole_line).alias("all_objects"))
-    )
-    # One row per file: no longer than the listing the driver already holds.
-    found = kinds.collect()
-    by_line = [r["file"] for r in found if r["all_objects"] and r["lines"] > 1]
-    whole = [r["file"] for r in found if not (r["all_objects"] and r["lines"] > 1)]
+    if shape is None:
+        by_line, whole = _files_by_shape(spark, path)
+    else:
+        paths = [path] if isinstance(path, str) else path
+        by_line, whole = (paths, []) if shape == "lines" else ([], paths)
     parts = []
     if by_line:
         parts.append(spark.read.schema(_as_text(schema)).option("mode", "FAILFAST").json(by_line))
     if whole:
-        docs = spark.read.text(whole, wholetext=True)
-        parts.append(json_documents(docs, schema, "value", wrap_keys))
+        parts.append(json_documents(spark.read.text(whole, wholetext=True), schema, "value", wrap_keys))
     if not parts:
         raise ValueError(f"unable to parse JSON: {path}")
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def _any_case(suffix: str) -> str:

@@ -48,6 +48,8 @@ def test_json_folder_of_all_shapes_and_broken_text(spark, tmp_path):
     for name, (body, _) in JSON_SHAPES.items():
         (tmp_path / f"{name}.json").write_text(body)
     assert files.read_json_any(spark, str(tmp_path), SCHEMA).count() == sum(n for _, n in JSON_SHAPES.values())
+    assert files.read_json_any(spark, str(tmp_path / "lines.json"), SCHEMA, shape="lines").count() == 3
+    assert files.read_json_any(spark, str(tmp_path / "list.json"), SCHEMA, shape="documents").count() == 2
     (tmp_path / "broken.json").write_text("not json at all")
     with pytest.raises(PySparkException):
         files.read_json_any(spark, str(tmp_path), SCHEMA).collect()
