@@ -1,5 +1,6 @@
 """Skewed data, the ways taken beyond a size limit, and the shape of plans."""
 
+import json
 from types import SimpleNamespace
 
 import numpy as np
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quern import common
-from quern.operators import predict, profile, retrieve, shape, text, topics
+from quern.operators import outbox, predict, profile, retrieve, shape, text, topics
 from quern.plans.registry import Tables
 from tests.conftest import DATA
 
@@ -217,3 +218,28 @@ def test_the_cluster_folder_is_used():
     assert common.shared_dir(session("yarn", "hdfs://name/shared/")) == "hdfs://name/shared"
     with pytest.raises(ValueError):
         common.shared_dir(session("yarn", None))
+
+
+def test_tokens_are_computed_once(spark):
+    rows = text.simple_tokens(Tables(spark, DATA).documents.select("doc_id", "text"), "text")
+    for df in (topics.bag_of_words(rows, "tokens", "doc_id"), text.word_counts(rows, F.col("tokens"))):
+        physical = df._jdf.queryExecution().executedPlan().toString()
+        assert "Filter isnotnull(word" in physical and "size(" not in physical
+
+
+def test_a_hot_message_becomes_numbered_messages(spark):
+    rows = spark.range(95).select((F.col("id") % 2 * 0 + 1).alias("message_id"), "id").union(spark.createDataFrame([(2, 0)]))
+    files = outbox.table_attachment(rows, "message_id", ["id"], "t", "xlsx", rows_per_file=10)
+    requests = spark.createDataFrame(
+        [(i, "ann", "s", "Text", "b", ["x@example.com"]) for i in (1, 2, 3)],
+        "message_id bigint, sender string, subject string, content_type string, body string, to_list array<string>",
+    )
+    groups = spark.createDataFrame([(1, "G")], "group_id int, display_name string")
+    members = spark.createDataFrame([(1, "ann")], "group_id int, user string")
+    sent = outbox.outbox(requests, groups, members, "G", files, files_per_message=4).collect()
+    names = {}
+    for r in sent:
+        found = json.loads(r["payload"])["message"].get("attachments", [])
+        names[r["message_id"], r["message_no"]] = [a["name"] for a in found]
+    assert {k: len(v) for k, v in names.items()} == {(1, 0): 4, (1, 1): 4, (1, 2): 2, (2, 0): 1, (3, 0): 0}
+    assert names[1, 0][:2] == ["t_1.xlsx", "t_1_2.xlsx"] and len({n for v in names.values() for n in v}) == 11
