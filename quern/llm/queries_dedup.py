@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quern.llm import jaccard_join
+from quern.llm import jaccard_join, substring_dedup
 from quern.llm.registry import query, table
 
 _OP7_SQL = r"""
@@ -24,3 +25,27 @@ FROM t LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a, min(b) AS low FROM reach
 def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Components of documents whose sets of 3-word shingles are alike by 90 % or more."""
     return jaccard_join.near_duplicates(table(spark, folder, "documents"))
+
+
+_OP5_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+win AS (SELECT doc_id, p, array_to_string(w[p:p + 34], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS p FROM d WHERE len(w) >= 35)),
+twice AS (SELECT doc_id, p, count(*) OVER (PARTITION BY k) AS c FROM win),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 35)) AS q FROM twice WHERE c > 1),
+word AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS q FROM d),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY q) AS t FROM word ANTI JOIN gone USING (doc_id, q) GROUP BY 1)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query("op5_substring_dedup", _OP5_SQL)
+def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document less those in repeated runs of 35 words."""
+    left = substring_dedup.kept_words(table(spark, folder, "documents"))
+    return left.select(
+        "doc_id",
+        "n_words",
+        (F.col("n_words") - F.size("kept")).alias("n_removed"),
+        F.sha2(F.array_join("kept", " "), 256).alias("kept_sha256"),
+    )

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import decontaminate, license_scan, token_files, toxicity, warc
+from quern.llm import decontaminate, license_scan, piece_sampling, token_files, toxicity, warc
 from quern.llm.registry import query, table
 
 _OP1_SQL = r"""
@@ -106,3 +106,16 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Known licence sentences and recognised licences of every document."""
     found = license_scan.scan_licenses(table(spark, folder, "documents"))
     return found.withColumns({c: F.array_join(c, ",") for c in ("sentence_ids", "licenses")})
+
+
+@query("op3_piece_sampling")
+def op3_piece_sampling(spark: SparkSession, folder: str) -> DataFrame:
+    """A sampled segmentation of every document and whether it decodes to the text."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = piece_sampling.encode(table(spark, folder, "documents"), model, keep=("text",))
+    return piece_sampling.decode(encoded, model).select(
+        "doc_id",
+        F.size("piece_ids").cast("long").alias("n_pieces"),
+        "piece_ids",
+        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"),
+    )
