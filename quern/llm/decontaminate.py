@@ -163,11 +163,14 @@ def decontaminate(
     """
     if mode not in ("documents", "spans"):
         raise ValueError(f"unknown mode {mode!r}")
-    both = docs.select(F.struct(F.col(key), F.xxhash64(text)).alias("_id"), F.col(text).alias("_text"))
-    found = find_hits(both, items, "_id", "_text", item_key, item_text, size).where(F.size("hits") > 0)
-    found = materialize(found.groupBy("_id").agg(F.first("hits").alias("_hits")), "contaminated")
-    same = F.struct(F.col(key), F.xxhash64(text)).eqNullSafe(F.col("_id"))
+    same = F.struct(F.col(key).alias("key"), F.xxhash64(text).alias("mark"))
+    held = docs.select(F.struct(*docs.columns).alias("_doc"), same.alias("_id"), F.col(text).alias("_text"))
+    found = find_hits(held, items, "_id", "_text", item_key, item_text, size).where(F.size("hits") > 0)
+    found = found.groupBy(F.col("_id").alias("_found")).agg(F.first("hits").alias("_hits"))
+    found = materialize(found, "contaminated")
+    match = F.col("_id").eqNullSafe(F.col("_found"))
     if mode == "documents":
-        return docs.join(found.select("_id"), same, "left_anti")
-    cut = F.when(F.col("_hits").isNull(), F.col(text)).otherwise(_without(F.col(text), "_hits"))
-    return docs.join(found, same, "left").withColumn(text, cut).select(*docs.columns)
+        return held.join(found.select("_found"), match, "left_anti").select("_doc.*")
+    cut = F.when(F.col("_hits").isNull(), F.col("_text")).otherwise(_without(F.col("_text"), "_hits"))
+    joined = held.join(found, match, "left")
+    return joined.select(*[cut.alias(c) if c == text else F.col("_doc")[c].alias(c) for c in docs.columns])

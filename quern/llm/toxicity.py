@@ -92,7 +92,7 @@ def _fit(df: DataFrame, chain_so_far: Sequence[str], label: str) -> tuple[Logist
     features = VectorAssembler(inputCols=["_bag", *chain_so_far], outputCol="_features")
     learner = LogisticRegression(
         featuresCol="_features", labelCol=label, probabilityCol="_probability", rawPredictionCol="_raw",
-        predictionCol="_prediction", regParam=1e-4, standardization=False, maxIter=40, aggregationDepth=2,
+        predictionCol="_prediction", regParam=1e-5, standardization=False, maxIter=60, aggregationDepth=2,
     )
     return learner.fit(features.transform(df)), float(told["share"])
 
