@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,13 +22,8 @@ MEDIA_TYPES = {
 }
 ATTACHMENT_TAG = "#microsoft.graph.fileAttachment"
 
-# The report notice.
-NOTICE = """Hi All,
-<br><br>
-The <b>{report}</b> for <b>{month}</b> is now complete and available for review.
-<br><br>
-<b>Access the Report Here:</b> <a href="{link}">Link</a>
-"""
+# A neutral sample; senders bring their own.
+NOTICE = "<p>{report}, {month}: the figures are in.</p>\n<p><a href=\"{link}\">Open</a></p>\n"
 
 
 def allowed_senders(
@@ -69,14 +66,17 @@ def _if_any(items: Column) -> Column:
     return F.when(F.size(items) > 0, items)
 
 
-def build_messages(df: DataFrame, attachments: str | None = None, name: str = "payload") -> DataFrame:
+def build_messages(
+    df: DataFrame, attachments: str | None = None, name: str = "payload", on_bad_type: str = "raise"
+) -> DataFrame:
     """JSON payload from ``subject, content_type, body`` and address arrays ``to_list, cc_list, bcc_list``.
 
-    Empty copies and attachments are left out. A content type other than Text or HTML raises.
+    Empty copies and attachments are left out. A content type other than Text or HTML raises, or gives a null
+    payload with ``on_bad_type="null"``.
     """
-    checked = F.when(F.col("content_type").isin("Text", "HTML"), F.col("content_type")).otherwise(
-        F.raise_error(F.lit("content type must be Text or HTML")).cast("string")
-    )
+    known = F.col("content_type").isin("Text", "HTML")
+    raised = F.raise_error(F.lit("content type must be Text or HTML")).cast("string")
+    checked = F.when(known, F.col("content_type")).otherwise(raised if on_bad_type == "raise" else F.lit(None))
     parts = [
         F.col("subject").alias("subject"),
         F.struct(checked.alias("contentType"), F.col("body").alias("content")).alias("body"),
@@ -88,7 +88,8 @@ def build_messages(df: DataFrame, attachments: str | None = None, name: str = "p
     if attachments is not None:
         parts.append(_if_any(F.col(attachments)).alias("attachments"))
     message = F.struct(F.struct(*parts).alias("message"), F.lit(True).alias("saveToSentItems"))
-    return df.withColumn(name, F.to_json(message))
+    payload = F.to_json(message)
+    return df.withColumn(name, payload if on_bad_type == "raise" else F.when(known, payload))
 
 
 def _attachment(name: Column, suffix: str, content: Column) -> Column:
@@ -160,9 +161,23 @@ def table_attachment(
     )
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether Spark finds anything at a path of any store, without reading it."""
+    try:
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
 def file_attachments(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Workbook, CSV and PDF files as attachments; other suffixes are skipped."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    """Workbook, CSV and PDF files as attachments; other suffixes and paths that do not exist are skipped."""
+    found = [p for p in ([path] if isinstance(path, str) else path) if _exists(spark, p)]
+    schema = "path string, modificationTime timestamp, length bigint, content binary"
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    files = reader.load(found) if found else spark.createDataFrame([], schema)
     suffix = file_ext("path")
     media = F.create_map(*[F.lit(v) for pair in MEDIA_TYPES.items() for v in pair])
     return (
@@ -180,12 +195,21 @@ def file_attachments(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
+def _escaped(value: Column) -> Column:
+    """Text for HTML; null becomes empty."""
+    for raw, safe in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+        value = F.replace(value, F.lit(raw), F.lit(safe))
+    return F.coalesce(value, F.lit(""))
+
+
 def render_body(df: DataFrame, report: str, date: str, link: str, name: str = "body", template: str = NOTICE) -> DataFrame:
-    """Fill the notice with the report name, the month before ``date`` and a link."""
-    text = F.lit(template)
-    for mark, value in (("{report}", F.col(report)), ("{month}", previous_month_name(date)), ("{link}", F.col(link))):
-        text = F.replace(text, F.lit(mark), value)
-    return df.withColumn(name, text)
+    """Fill the template with the report name, the month before ``date`` and a link, each escaped for HTML.
+
+    The template is cut at its marks once, so a value that looks like a mark stays as it is.
+    """
+    values = {"{report}": F.col(report), "{month}": previous_month_name(date), "{link}": F.col(link)}
+    parts = re.split("(" + "|".join(map(re.escape, values)) + ")", template)
+    return df.withColumn(name, F.concat(*[_escaped(values[p]) if p in values else F.lit(p) for p in parts]))
 
 
 def outbox(
@@ -196,23 +220,39 @@ def outbox(
     attachments: DataFrame | None = None,
     key: str = "message_id",
     files_per_message: int = 10,
+    users: DataFrame | None = None,
+    on_unknown: str = "raise",
 ) -> DataFrame:
-    """Outbox rows ``(key, message_no, sender, state, payload)``; a rejected message keeps no payload.
+    """Outbox rows ``(key, message_no, sender, state, payload)``; a message that is not ready keeps no payload.
 
-    A request with more than ``files_per_message`` attachments becomes several numbered messages, so
-    that no payload grows without bound and no file is left out.
+    ``attachments`` holds ``key``, ``attachment`` and ``part_no``; several tables and files of one message are
+    numbered on in the order of name and part. Without ``part_no`` each row is one file. A request with more
+    than ``files_per_message`` files becomes several numbered messages, so that no payload grows without bound
+    and no file is left out. With a table of ``users`` an unknown sender raises, or gets the state ``unknown``
+    with ``on_unknown="mark"``. A content type other than Text or HTML is ``rejected``.
     """
     files = None
     if attachments is None:
         requests = requests.withColumn("message_no", F.lit(0))
     else:
-        listed = attachments.groupBy(key, F.floor(F.col("part_no") / files_per_message).cast("int").alias("_no")).agg(
+        if "part_no" not in attachments.columns:
+            attachments = attachments.withColumn("part_no", F.lit(0))
+        order = [F.col("_file"), F.col("part_no"), F.xxhash64("attachment")]
+        # Parts of one table share the name up to their number, so the media type and name order whole files.
+        named = attachments.withColumn("_file", F.regexp_replace("attachment.name", r"(_\d+)?(\.[^.]+)$", "$2"))
+        placed = with_group_row_number(named, [key], order, "_place")
+        listed = placed.groupBy(key, F.floor(F.col("_place") / files_per_message).cast("int").alias("_no")).agg(
             F.transform(
-                F.array_sort(F.collect_list(F.struct("part_no", "attachment"))), lambda s: s["attachment"]
+                F.array_sort(F.collect_list(F.struct("_place", "attachment"))), lambda s: s["attachment"]
             ).alias("files")
         )
         requests = requests.join(listed, key, "left").withColumn("message_no", F.coalesce("_no", F.lit(0)))
         files = "files"
-    built = build_messages(allowed_senders(requests, groups, members, group), files)
+    built = build_messages(allowed_senders(requests, groups, members, group, users), files, on_bad_type="null")
+    state = F.when((F.col("state") == "ready") & F.col("payload").isNull(), "rejected").otherwise(F.col("state"))
+    if users is not None and on_unknown == "raise":
+        raised = F.raise_error(F.concat(F.lit("unknown sender "), F.coalesce("sender", F.lit("null")))).cast("string")
+        state = F.when(F.col("state") == "unknown", raised).otherwise(state)
+    built = built.withColumn("state", state)
     payload = F.when(F.col("state") == "ready", F.col("payload")).alias("payload")
     return built.select(key, "message_no", "sender", "state", payload)

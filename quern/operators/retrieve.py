@@ -130,10 +130,13 @@ HITS = "query_id bigint, store_id bigint, distance double"
 
 
 def _renamed(df: DataFrame, id_col: str, vec: str, fold: str | None) -> DataFrame:
+    """Ids and vectors; a null vector, or one with a number that is null, NaN or infinite, takes no part."""
     folds = [] if fold is None else [F.col(fold).cast("int").alias("fold")]
-    return df.select(
+    df = df.select(
         F.col(id_col).cast("bigint").alias("id"), F.col(vec).cast("array<double>").alias("vec"), *folds
     )
+    finite = F.forall("vec", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)) & ~F.isnan(x))
+    return df.filter(F.coalesce(finite, F.lit(False)))
 
 
 def _by_broadcast(store: DataFrame, queries: DataFrame, k: int, folded: bool) -> DataFrame:
@@ -236,7 +239,8 @@ def nearest(
 ) -> DataFrame:
     """Exact ``k`` nearest stored vectors by Euclidean distance: ``(query_id, store_id, distance, rank)``.
 
-    With ``fold`` a query is never matched with rows of its own fold.
+    With ``fold`` a query is never matched with rows of its own fold. Stored vectors and queries that are null or
+    hold a number that is not finite are left out.
     """
     s = _renamed(store, store_id, vec, fold)
     q = _renamed(queries, query_id, vec, fold)

@@ -216,11 +216,12 @@ def _merge(tokens: Sequence[str], joins) -> list[str]:
 def apply_phrases(
     df: DataFrame, tokens: str, phrases: DataFrame, key: str, limit: int = 300_000
 ) -> DataFrame:
-    """Replace phrase pairs by ``a_b`` in an array column.
+    """Replace phrase pairs by ``a_b`` in an array column; a null array becomes an empty one.
 
     Up to ``limit`` phrases travel to the executors as a set, after a count. Beyond that the
     pairs are matched by a join, and only the places that matched are sent back to their texts.
     """
+    df = df.withColumn(tokens, F.coalesce(tokens, F.array().cast("array<string>")))
     few = phrases.select("a", "b").limit(limit + 1).collect()
     if len(few) <= limit:
         pairs = df.sparkSession.sparkContext.broadcast({(r["a"], r["b"]) for r in few})
@@ -259,7 +260,7 @@ def apply_phrases(
 def lexicon_filter(
     df: DataFrame, key: str, tokens: str, lexicon: DataFrame, tags: Sequence[str]
 ) -> DataFrame:
-    """Words whose tag is allowed, replaced by their lemma, in text order.
+    """Words whose tag is allowed, replaced by their lemma, in text order; a text without such words stays, empty.
 
     ``lexicon(word, lemma, tag)`` joins on the word. Its allowed part is stored first, so that
     Catalyst broadcasts it by its measured size, or splits frequent words in a sort-merge join.
@@ -270,11 +271,13 @@ def lexicon_filter(
         allowed = allowed | F.col("tag").startswith(tag)
     kept = lexicon.filter(allowed).groupBy("word").agg(F.min("lemma").alias("lemma"))
     kept = materialize(kept, "lexicon")
+    # The outer form keeps a row for an empty text, and the left join one for a text whose words all go.
+    words = df.select(key, F.posexplode_outer(tokens).alias("pos", "word"))
+    found = F.when(F.col("lemma").isNotNull(), F.struct("pos", "lemma"))
     return (
-        each_token(df, tokens, [key], pos=True)
-        .join(kept, "word")
+        words.join(kept, "word", "left")
         .groupBy(key)
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "lemma"))).alias("_w"))
+        .agg(F.array_sort(F.collect_list(found)).alias("_w"))
         .select(key, F.transform("_w", lambda s: s["lemma"]).alias(tokens))
     )
 

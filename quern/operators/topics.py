@@ -41,13 +41,16 @@ def bag_of_words(df: DataFrame, tokens: str, key: str, vocab: DataFrame | None =
 
 
 def count_vectors(
-    df: DataFrame, tokens: str, max_features: int = 40_000, name: str = "features"
+    df: DataFrame, tokens: str, max_features: int | None = None, name: str = "features"
 ) -> tuple[DataFrame, CountVectorizerModel]:
-    """Sparse count vectors over the ``max_features`` commonest words, ties broken by the word.
+    """Sparse count vectors over all words by falling count, ties broken by the word; null texts have none.
 
-    Only that bounded list of words comes to the driver.
+    ``max_features`` keeps only the commonest. The list of words is part of the model, which the driver and
+    the executors hold, so a vocabulary beyond their memory needs that bound.
     """
-    best = word_counts(df, F.col(tokens)).orderBy(F.desc("n"), "word").limit(max_features).collect()
+    df = df.withColumn(tokens, F.coalesce(tokens, F.array().cast("array<string>")))
+    ranked = word_counts(df, F.col(tokens)).orderBy(F.desc("n"), "word")
+    best = (ranked if max_features is None else ranked.limit(max_features)).select("word").collect()
     model = CountVectorizerModel.from_vocabulary([r["word"] for r in best], inputCol=tokens, outputCol=name)
     return model.transform(df), model
 
@@ -57,17 +60,17 @@ def lda_fit(
     k: int = 4,
     seed: int = 42,
     max_iter: int = 10,
-    alpha: float | None = None,
+    alpha: float | list[float] | None = None,
     beta: float | None = None,
-    sample: float = 0.05,
+    sample: float = 1.0,
 ) -> LDAModel:
-    """Online variational Bayes with a fixed symmetric prior.
+    """Variational Bayes with a fixed symmetric prior: ``max_iter`` passes over all texts.
 
-    Each of the ``max_iter`` steps reads about ``sample`` of the texts as its mini-batch.
+    ``sample`` below 1 makes each step read only about that share of the texts.
     """
     fit = LDA(
         k=k, seed=seed, maxIter=max_iter, optimizer="online", subsamplingRate=sample,
-        docConcentration=[1.0 / k if alpha is None else alpha],
+        docConcentration=alpha if isinstance(alpha, list) else [1.0 / k if alpha is None else alpha],
         topicConcentration=1.0 / k if beta is None else beta,
         optimizeDocConcentration=False,
     )
@@ -218,7 +221,7 @@ def coherence_umass(
 
 def choose_k(
     df: DataFrame, tokens: str, ks: Sequence[int] = range(2, 23, 2), seed: int = 42, max_iter: int = 10,
-    max_features: int = 40_000, n: int = 20, sample: float = 0.05,
+    max_features: int | None = None, n: int = 20, sample: float = 1.0,
 ) -> DataFrame:
     """``(k, coherence)`` of one model per ``k``; the vectors are written once and read by all fits."""
     stored = materialize(df.select(tokens), "tokens")
@@ -232,12 +235,26 @@ def choose_k(
     return df.sparkSession.createDataFrame(rows, "k int, coherence double")
 
 
+def prior(value: float | str, k: int) -> float | list[float]:
+    """A number as it is, ``symmetric`` as 1 / k, ``asymmetric`` as shares that fall like 1 / (i + sqrt(k))."""
+    if value == "symmetric":
+        return 1.0 / k
+    if value == "asymmetric":
+        raw = [1.0 / (i + k**0.5) for i in range(k)]
+        return [x / sum(raw) for x in raw]
+    return float(value)
+
+
 def lda_grid(
-    df: DataFrame, tokens: str, ks: Sequence[int], alphas: Sequence[float], betas: Sequence[float],
+    df: DataFrame, tokens: str, ks: Sequence[int], alphas: Sequence[float | str], betas: Sequence[float | str],
     fractions: Sequence[float] = (0.75, 1.0), key: str = "doc_id", seed: int = 42, max_iter: int = 10,
-    sample: float = 0.05,
+    sample: float = 1.0,
 ) -> DataFrame:
-    """``(fraction, k, alpha, beta, coherence)``; a share of the corpus is chosen by a hash of the key."""
+    """``(fraction, k, alpha, beta, coherence)``; a share of the corpus is chosen by a hash of the key.
+
+    A prior is a number, ``symmetric`` (1 / k), or for ``alphas`` also ``asymmetric`` (falling with the
+    topic's number). Named priors are listed as such, so ``alpha`` and ``beta`` are strings.
+    """
     rows = []
     for share in fractions:
         chosen = df.filter(F.pmod(F.xxhash64(key), F.lit(1_000_000)) < int(share * 1_000_000))
@@ -247,12 +264,12 @@ def lda_grid(
         for k in ks:
             for alpha in alphas:
                 for beta in betas:
-                    model = lda_fit(vectors, k, seed, max_iter, alpha, beta, sample)
+                    model = lda_fit(vectors, k, seed, max_iter, prior(alpha, k), prior(beta, k), sample)
                     scores = coherence_cv(topic_terms(model, words.vocabulary, 20), stored, tokens)
                     mean = scores.agg(F.avg("coherence").alias("c")).first()["c"]
-                    rows.append((float(share), k, float(alpha), float(beta), mean))
+                    rows.append((float(share), k, str(alpha), str(beta), mean))
     return df.sparkSession.createDataFrame(
-        rows, "fraction double, k int, alpha double, beta double, coherence double"
+        rows, "fraction double, k int, alpha string, beta string, coherence double"
     )
 
 
@@ -276,7 +293,7 @@ def lsi_fit(df: DataFrame, tokens: str, key: str, k: int = 20, max_features: int
         matrix, place = held.value
         for batch in batches:
             mixtures = [
-                matrix[[place[w] for w in text if w in place]].sum(0).tolist() for text in batch[tokens]
+                matrix[[place[w] for w in (() if text is None else text) if w in place]].sum(0).tolist() for text in batch[tokens]
             ]
             yield pd.DataFrame({key: batch[key], "mixture": mixtures})
 
@@ -297,7 +314,7 @@ def topic_top_words(bow: DataFrame, doc_topic: DataFrame, key: str, n: int = 15)
 
 def auto_topics(
     vectors: DataFrame, words: Sequence[str], key: str, t_max: int = 150, min_share: float = 0.01, seed: int = 42,
-    max_iter: int = 10, sample: float = 0.05,
+    max_iter: int = 10, sample: float = 1.0,
 ) -> DataFrame:
     """Number of topics from the data: a sparse prior over many topics, keeping those with a share.
 

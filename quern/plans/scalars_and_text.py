@@ -339,8 +339,9 @@ def _lexicon(t: Tables):
     "lexicon_filter",
     f"""WITH d AS (SELECT doc_id, {TOKENS} AS l FROM documents),
              p AS (SELECT doc_id, i, l[i + 1] AS w FROM d, unnest(range(len(l))) r(i))
-        SELECT doc_id, string_agg(regexp_replace(w, 'tion$', ''), ' ' ORDER BY i) AS tokens
-        FROM p WHERE {TAGS} IN ('NN', 'NNS', 'JJ') GROUP BY doc_id""",
+        SELECT doc_id, coalesce(tokens, '') AS tokens FROM documents LEFT JOIN
+          (SELECT doc_id, string_agg(regexp_replace(w, 'tion$', ''), ' ' ORDER BY i) AS tokens
+           FROM p WHERE {TAGS} IN ('NN', 'NNS', 'JJ') GROUP BY doc_id) USING (doc_id)""",
 )
 def _lexicon_filter(t: Tables):
     rows = text.simple_tokens(t.texts("text"), "text")

@@ -121,7 +121,7 @@ def _coherence_umass(t: Tables):
 
 def _vectors(t: Tables):
     rows = materialize(_tokens(t, "lang"), "tokens")
-    vectors, model = topics.count_vectors(rows, "tokens", 5000)
+    vectors, model = topics.count_vectors(rows, "tokens")
     return rows, materialize(vectors, "vectors"), model.vocabulary
 
 
@@ -147,30 +147,30 @@ def _log_perplexity(t: Tables):
 
 @query("choose_k")
 def _choose_k(t: Tables):
-    return topics.choose_k(_tokens(t), "tokens", ks=(2, 4, 6), max_features=2000)
+    return topics.choose_k(_tokens(t), "tokens")
 
 
 @query("lda_grid")
 def _lda_grid(t: Tables):
-    return topics.lda_grid(_tokens(t), "tokens", ks=(2, 4), alphas=(0.1,), betas=(0.1, 0.5), fractions=(0.75, 1.0))
+    return topics.lda_grid(_tokens(t), "tokens", ks=(2, 4), alphas=("asymmetric",), betas=("symmetric", 0.5), fractions=(0.75, 1.0))
 
 
 @query("lsi_fit")
 def _lsi_fit(t: Tables):
-    docs, _, _, _ = topics.lsi_fit(_tokens(t), "tokens", "doc_id", 10, 2000)
+    docs, _, _, _ = topics.lsi_fit(_tokens(t), "tokens", "doc_id", 20, 40_000)
     return docs.select("doc_id", F.posexplode("mixture").alias("component", "weight"))
 
 
 @query("dominant_topic")
 def _dominant_topic(t: Tables):
-    docs, _, _, _ = topics.lsi_fit(_tokens(t), "tokens", "doc_id", 10, 2000)
+    docs, _, _, _ = topics.lsi_fit(_tokens(t), "tokens", "doc_id", 20, 40_000)
     return topics.dominant_topic(docs).groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("auto_topics")
 def _auto_topics(t: Tables):
     _, vectors, words = _vectors(t)
-    return topics.auto_topics(vectors, words, "doc_id", t_max=20, min_share=0.02)
+    return topics.auto_topics(vectors, words, "doc_id")
 
 
 # ---- encoding, scaling and regression

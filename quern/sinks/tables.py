@@ -15,13 +15,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.common import broadcast_if_small, materialize, shared_dir
+from quern.common import broadcast_if_small, materialize
 
 
-def _versions(spark: SparkSession, db: str, table: str) -> list[int]:
+def _versions(spark: SparkSession, db: str, table: str) -> list[tuple[int, str]]:
+    """Number and name of the stored versions, oldest first."""
     names = spark.sql(f"SHOW TABLES IN `{db}` LIKE '{table}__v*'").select("tableName").collect()
-    found = (re.fullmatch(re.escape(table.lower()) + r"__v(\d+)", r[0]) for r in names)
-    return sorted(int(m.group(1)) for m in found if m)
+    found = (re.fullmatch(re.escape(table.lower()) + r"__v(\d+)_[0-9a-f]{8}", r[0]) for r in names)
+    return sorted((int(m.group(1)), m.group(0)) for m in found if m)
 
 
 def table_exists(spark: SparkSession, db: str, table: str) -> bool:
@@ -30,17 +31,16 @@ def table_exists(spark: SparkSession, db: str, table: str) -> bool:
 
 def _publish(df: DataFrame, db: str, table: str) -> None:
     spark = df.sparkSession
-    root = shared_dir(spark)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{root}/db-{db}'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
     old = _versions(spark, db, table)
-    number = old[-1] + 1 if old else 0
-    version = f"{table}__v{number}"
-    path = f"{root}/{db}/{version}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").option("path", path).saveAsTable(f"`{db}`.`{version}`")
+    number = max(old, default=(-1, ""))[0] + 1
+    # Managed by the warehouse, so that dropping a version frees its files; the suffix keeps two writers apart.
+    version = f"{table}__v{number}_{uuid.uuid4().hex[:8]}"
+    df.write.saveAsTable(f"`{db}`.`{version}`")
     spark.sql(f"CREATE OR REPLACE VIEW `{db}`.`{table}` AS SELECT * FROM `{db}`.`{version}`")
     # The version just replaced stays for queries that are still reading it.
-    for stale in old[:-1]:
-        spark.sql(f"DROP TABLE IF EXISTS `{db}`.`{table}__v{stale}`")
+    for _, stale in old[:-1]:
+        spark.sql(f"DROP TABLE IF EXISTS `{db}`.`{stale}`")
 
 
 def load_table(df: DataFrame, db: str, table: str, merge_schema: bool = False) -> DataFrame:
@@ -62,6 +62,8 @@ def upsert_rows(stored: DataFrame, incoming: DataFrame, keys: Sequence[str]) ->
     stored table is not shuffled.
     """
     names = list(keys)
+    # Written once: the keys that are checked are those of the rows that are stored.
+    incoming = materialize(incoming, "incoming")
     seen = materialize(incoming.groupBy(*names).agg(F.count(F.lit(1)).alias("_n")), "keys")
     if not seen.filter("_n > 1").isEmpty():
         raise ValueError(f"incoming rows repeat a key in {names}")

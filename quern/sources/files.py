@@ -22,19 +22,39 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a header row, UTF-8 with or without a byte order mark.
 
-    With a schema the header only names the file's columns and is skipped. Without one the types
+    With a schema columns are matched by their header, in any order: one the file lacks is null, one the
+    schema lacks is left out. A file whose header differs from the others raises. Without a schema the types
     are inferred, which costs a second pass and is meant for profiling. ``multiline`` allows line
     breaks inside quotes, at the price of one task per file.
     """
     reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
     if schema is not None:
-        return reader.schema(schema).csv(path)
+        return _read_by_header(spark, reader, path, schema)
     df = reader.option("inferSchema", True).csv(path)
     return df.toDF(*[c.lstrip(BYTE_ORDER_MARK) for c in df.columns])
 
 
+def _read_by_header(spark: SparkSession, reader, path: str | list[str], schema: T.StructType | str) -> DataFrame:
+    """Read with the schema put in the order of the header, which Spark then checks in every file."""
+    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    known = {f.name.lower(): f for f in wanted.fields}
+    header = reader.csv(path).columns
+    if not header:
+        return reader.schema(wanted).csv(path)
+    plain = [c.lstrip(BYTE_ORDER_MARK) for c in header]
+    fields = [T.StructField(c, known[p.lower()].dataType if p.lower() in known else T.StringType()) for c, p in zip(header, plain)]
+    df = reader.option("enforceSchema", False).schema(T.StructType(fields)).csv(path)
+    place = {p.lower(): c for c, p in zip(header, plain)}
+    return df.select(
+        *[
+            (F.col(f"`{place[f.name.lower()]}`") if f.name.lower() in place else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in wanted.fields
+        ]
+    )
+
+
 def _starts_with(column: Column, bracket: str) -> Column:
-    return F.ltrim(column).startswith(bracket)
+    return column.rlike(r"^\s*\%s" % bracket)
 
 
 def _as_text(schema: T.StructType | str) -> str:
@@ -50,20 +70,25 @@ def json_documents(
     """Rows of whole JSON documents held in a text column.
 
     A list gives its elements, an object with a list under one of ``wrap_keys`` (first match in
-    that order) gives the elements of that list, and any other object gives one row. Text that is
-    neither raises. Columns other than ``text`` are kept in front.
+    that order) gives the elements of that list, and any other object gives one row. Several values with
+    commas between them give the rows of all, except after a wrapped list; whatever else stands behind a value
+    raises, as does text that is neither list nor object. Columns other than ``text`` are kept in front.
     """
     fields = _as_text(schema)
     doc = F.col(text)
     strict = {"mode": "FAILFAST"}
-    rows = F.when(_starts_with(doc, "["), F.from_json(doc, f"array<struct<{fields}>>", strict))
+    # Inside one more list nothing behind the first value can go unread.
+    all_of = F.concat(F.lit("["), doc, F.lit("]"))
+    alone = F.size(F.from_json(all_of, "array<map<string,string>>", strict)) == 1
+    more = F.raise_error(F.lit("a JSON document goes on behind its wrapped list"))
+    rows = F.when(_starts_with(doc, "["), F.flatten(F.from_json(all_of, f"array<array<struct<{fields}>>>", strict)))
     for key in wrap_keys:
         inner = F.get_json_object(doc, f"$.{key}")
         rows = rows.when(
             _starts_with(doc, "{") & _starts_with(inner, "["),
-            F.from_json(inner, f"array<struct<{fields}>>", strict),
+            F.when(alone, F.from_json(inner, f"array<struct<{fields}>>", strict)).otherwise(more.cast(f"array<struct<{fields}>>")),
         )
-    rows = rows.when(_starts_with(doc, "{"), F.array(F.from_json(doc, f"struct<{fields}>", strict)))
+    rows = rows.when(_starts_with(doc, "{"), F.from_json(all_of, f"array<struct<{fields}>>", strict))
     rows = rows.otherwise(F.raise_error(F.lit("unable to parse JSON document")))
     kept = [c for c in docs.columns if c != text]
     return docs.select(*kept, F.explode(rows).alias("_row")).select(*kept, "_row.*")
@@ -75,7 +100,7 @@ def _files_by_shape(spark: SparkSession, path: str | list[str]) -> tuple[list[st
     In a valid document over several lines not every line both opens and closes with a brace, so no
     JSON has to be parsed to tell them apart. One row per file comes back, as in the driver's own listing.
     """
-    line = F.trim("value")
+    line = F.regexp_replace("value", r"^\s+|\s+$", "")
     whole_line = line.startswith("{") & line.endswith("}")
     kinds = (
         spark.read.text(path)
@@ -151,7 +176,7 @@ def read_folder(
             .option("escape", '"')
         )
         if csv_schema is not None:
-            out["csv"] = reader.schema(csv_schema).csv(path)
+            out["csv"] = _read_by_header(spark, reader, path, csv_schema)
         else:
             out["csv"] = reader.option("inferSchema", True).csv(path)
     if ".json" in suffixes:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -72,8 +73,9 @@ def landing_stream(
 ) -> DataFrame:
     """Clean landed files and upsert them by key.
 
-    Inside a batch the row with the greatest ``version`` wins for each key. The upsert replaces rows of
-    equal key, so a batch that is run again leaves the same table.
+    The row with the greatest ``version`` wins for each key, inside a batch and against the stored row, in
+    whatever order the files come; a null version is older than any other. The upsert replaces rows of equal
+    key, so a batch that is run again leaves the same table.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
@@ -81,6 +83,12 @@ def landing_stream(
         if version is not None:
             others = [c for c in rows.columns if c not in keys]
             newest = F.max(F.struct(version, *[c for c in others if c != version])).alias("_r")
+            stored = f"`{db}`.`{table}`"
+            if spark.catalog.tableExists(stored):
+                # Only stored rows of the batch's keys are compared with it.
+                same = reduce(lambda a, b: a & b, [F.col(f"s.`{k}`").eqNullSafe(F.col(f"b.`{k}`")) for k in keys])
+                old = spark.table(stored).alias("s").join(rows.select(*keys).distinct().alias("b"), same, "left_semi")
+                rows = rows.unionByName(old.select(*rows.columns))
             rows = rows.groupBy(*keys).agg(newest).select(*keys, *[f"_r.{c}" for c in others])
         else:
             rows = rows.dropDuplicates()
