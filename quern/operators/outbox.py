@@ -5,14 +5,12 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.common import materialize, with_group_row_number
 from quern.functions.scalars import file_ext, previous_month_name
-from quern.sources.workbooks import workbook_bytes
 
 # Media types of attachments and the type tag of a file attachment.
 MEDIA_TYPES = {
@@ -117,47 +115,29 @@ def table_attachment(
     key: str,
     order: Sequence[str],
     name: str,
-    fmt: str = "xlsx",
     rows_per_file: int = 100_000,
 ) -> DataFrame:
-    """The rows of each key as attachments: ``(key, part_no, n_rows, attachment)``.
+    """The rows of each key as CSV attachments: ``(key, part_no, n_rows, attachment)``.
 
     Files are built by the executors. A key with more than ``rows_per_file`` rows gets numbered
     parts, so that no task holds more than one file.
     """
-    if fmt not in ("csv", "xlsx"):
-        raise ValueError("format must be 'xlsx' or 'csv'")
     cols = [c for c in df.columns if c != key]
     placed = with_group_row_number(df, [key], list(order), "_place").withColumn(
         "part_no", F.floor(F.col("_place") / rows_per_file).cast("int")
     )
     part = F.when(F.col("part_no") > 0, F.concat(F.lit("_"), (F.col("part_no") + 1).cast("string")))
-    title = F.concat(F.lit(name + "_"), F.col(key).cast("string"), F.coalesce(part, F.lit("")), F.lit("." + fmt))
-    if fmt == "csv":
-        lines = placed.select(key, "part_no", "_place", _csv_line([F.col(c) for c in cols]).alias("_line"))
-        body = F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct("_place", "_line"))), lambda s: s["_line"]), "\n"
-        )
-        head = F.lit(",".join(cols) + "\n")
-        files = lines.groupBy(key, "part_no").agg(
-            F.count(F.lit(1)).alias("n_rows"), F.encode(F.concat(head, body, F.lit("\n")), "UTF-8").alias("_bytes")
-        )
-    else:
-        key_type = df.schema[key].dataType.simpleString()
-
-        def to_book(rows: pd.DataFrame) -> pd.DataFrame:
-            rows = rows.sort_values("_place")
-            cells = [cols, *(list(r) for r in rows[cols].astype(object).itertuples(index=False))]
-            return pd.DataFrame(
-                {key: [rows[key].iloc[0]], "part_no": [rows["part_no"].iloc[0]], "n_rows": [len(rows)],
-                 "_bytes": [workbook_bytes(cells)]}
-            )
-
-        files = placed.groupBy(key, "part_no").applyInPandas(
-            to_book, f"`{key}` {key_type}, part_no int, n_rows bigint, _bytes binary"
-        )
+    title = F.concat(F.lit(name + "_"), F.col(key).cast("string"), F.coalesce(part, F.lit("")), F.lit(".csv"))
+    lines = placed.select(key, "part_no", "_place", _csv_line([F.col(c) for c in cols]).alias("_line"))
+    body = F.array_join(
+        F.transform(F.array_sort(F.collect_list(F.struct("_place", "_line"))), lambda s: s["_line"]), "\n"
+    )
+    head = F.lit(",".join(cols) + "\n")
+    files = lines.groupBy(key, "part_no").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.encode(F.concat(head, body, F.lit("\n")), "UTF-8").alias("_bytes")
+    )
     return files.select(
-        key, "part_no", "n_rows", _attachment(title, "." + fmt, F.base64("_bytes")).alias("attachment")
+        key, "part_no", "n_rows", _attachment(title, ".csv", F.base64("_bytes")).alias("attachment")
     )
 
 

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quern.common import scratch_path
-from quern.operators.outbox import table_attachment
 from quern.plans.registry import Tables, query
 from quern.sinks import tables as sinks
 from quern.sources import files, images, tables, workbooks
@@ -53,24 +52,28 @@ def _json_documents(t: Tables):
 
 @query(
     "read_images",
-    """SELECT p_partkey || '.png' AS file_name, 'png' AS format, p_size AS width,
-              (p_partkey + 1)::INTEGER AS height, 24 AS size_bytes FROM part""",
+    """SELECT p_brand AS label, 'bmp' AS format, 4 AS width, count(*)::INTEGER AS height, 55 + 12 * count(*) AS size_bytes
+       FROM part GROUP BY p_brand""",
 )
 def _read_images(t: Tables):
-    def big_endian(c):
-        return F.lpad(F.hex(c), 8, "0")
+    """A picture per brand with a line of four pixels for each of its parts; then all pictures are read."""
 
+    def little_endian(c):
+        return F.concat(*[F.lpad(F.hex(F.shiftright(c, 8 * i).bitwiseAND(255)), 2, "0") for i in range(4)])
+
+    shade = F.lpad(F.hex(F.col("p_size")), 2, "0")
+    lines = F.array_join(F.sort_array(F.collect_list(F.struct("p_partkey", F.repeat(shade, 12).alias("line"))))["line"], "")
+    n = F.count(F.lit(1))
     head = F.concat(
-        F.lit("89504E470D0A1A0A0000000D49484452"),
-        big_endian(F.col("p_size").cast("bigint")),
-        big_endian(F.col("p_partkey") + 1),
-    )
-    pictures = t.part.select(
-        F.concat(F.lit("/landing/"), "p_brand", F.lit("/"), F.col("p_partkey").cast("string"), F.lit(".png")).alias("path"),
-        F.unhex(head).alias("content"),
-        F.lit(24).alias("length"),
-    )
-    return images.image_rows(pictures).select("file_name", "format", "width", "height", "size_bytes")
+        F.lit("424D"), little_endian(n * 12 + 54), F.lit("0000000036000000" + "28000000" + "04000000"), little_endian(n),
+        F.lit("01001800" + "00" * 24),
+    )
+    path = scratch_path(t.spark, "pictures")
+    pictures = t.part.groupBy("p_brand").agg(F.unhex(F.concat(head, lines)).cast("string").alias("value"))
+    # The text writer adds a line feed, which picture readers pass over.
+    pictures.write.partitionBy("p_brand").text(path)
+    label = F.regexp_replace(F.regexp_extract("path", "p_brand=([^/]+)/", 1), "%23", "#")
+    return images.read_images(t.spark, path, None).select(label.alias("label"), "format", "width", "height", "size_bytes")
 
 
 @query(
@@ -99,17 +102,18 @@ def tables_summary(found):
 
 @query("read_workbooks", "SELECT c_nationkey, c_custkey, c_name, c_mktsegment FROM customer")
 def _read_workbooks(t: Tables):
-    books = table_attachment(
-        t.customer.select("c_nationkey", "c_custkey", "c_name", "c_mktsegment"), "c_nationkey", ["c_custkey"], "customers"
-    ).select(
-        F.col("c_nationkey").cast("string").alias("path"),
-        F.unbase64("attachment.contentBytes").alias("content"),
-    )
-    rows = workbooks.parse_workbooks(books, columns="A:C")
-    named = tables.rows_to_frame(
-        rows.filter("row_no > 0").select(F.concat(F.array("path"), "cells").alias("cells")),
-        ["c_nationkey", "c_custkey", "c_name", "c_mktsegment"],
-    ).drop("n_cells")
+    people = t.customer.select("c_nationkey", "c_custkey", "c_name", "c_mktsegment")
+    sheet = F.struct(
+        F.col("c_nationkey").cast("string").alias("path"), F.lit("People").alias("sheet"), F.lit(0).alias("sheet_no"),
+        (F.col("c_custkey") + 1).cast("int").alias("row_no"),
+        F.array(*[F.col(c).cast("string") for c in people.columns], F.lit("outside the range")).alias("cells"),
+    )
+    notes = F.struct(F.lit("n").alias("path"), F.lit("Notes").alias("sheet"), F.lit(1).alias("sheet_no"), F.lit(1).alias("row_no"), F.array(F.lit("x")).alias("cells"))
+    head = F.struct(F.lit("h").alias("path"), F.lit("People").alias("sheet"), F.lit(0).alias("sheet_no"), F.lit(0).alias("row_no"), F.array(F.lit("head")).alias("cells"))
+    path = scratch_path(t.spark, "sheets")
+    rows = people.select(F.explode(F.array(sheet, notes, head)).alias("r")).select("r.*").filter("sheet = 'People'")
+    rows.unionByName(t.nation.select(notes.alias("r")).select("r.*")).write.json(path)
+    named = workbooks.read_workbooks(t.spark, path, people.columns, columns="A:D")
     schema = T.StructType.fromDDL("c_nationkey int, c_custkey bigint, c_name string, c_mktsegment string")
     return tables.apply_schema(named, schema)
 

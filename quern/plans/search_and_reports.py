@@ -254,7 +254,7 @@ def _csv_of_nations() -> str:
 def _table_attachment(t: Tables):
     named = F.concat("c_name", F.lit(', "'), "c_mktsegment", F.lit('"')).alias("c_name")
     rows = t.customer.select("c_nationkey", "c_custkey", named)
-    files = outbox.table_attachment(rows, "c_nationkey", ["c_custkey"], "balances", "csv", rows_per_file=20)
+    files = outbox.table_attachment(rows, "c_nationkey", ["c_custkey"], "balances", rows_per_file=20)
     return files.select(
         "c_nationkey", "part_no", "n_rows", F.col("attachment.name").alias("name"), F.col("attachment.contentType").alias("media_type"),
         F.regexp_replace("attachment.contentBytes", r"\s", "").alias("content"),
@@ -293,12 +293,12 @@ ATTACHED = """',"attachments":[{"@odata.type":"#microsoft.graph.fileAttachment",
                CASE WHEN r_name = 'EUROPE' THEN {PAYLOAD} || coalesce({ATTACHED}, ''){END} END AS payload
         FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
         LEFT JOIN (SELECT o_custkey, string_agg(o_orderkey || ',' || o_orderstatus, chr(10) ORDER BY o_orderkey) AS rows
-                   FROM orders WHERE o_orderstatus = 'P' GROUP BY o_custkey) ON o_custkey = c_custkey""",
+                   FROM orders GROUP BY o_custkey) ON o_custkey = c_custkey""",
 )
 def _outbox(t: Tables):
     groups, members = _groups(t)
-    due = t.orders.filter("o_orderstatus = 'P'").select(F.col("o_custkey").alias("message_id"), "o_orderkey", "o_orderstatus")
-    files = outbox.table_attachment(due, "message_id", ["o_orderkey"], "orders", "csv")
+    due = t.orders.select(F.col("o_custkey").alias("message_id"), "o_orderkey", "o_orderstatus")
+    files = outbox.table_attachment(due, "message_id", ["o_orderkey"], "orders")
     sent = outbox.outbox(_requests(t), groups, members, "EUROPE", files)
     # Base64 text is wrapped at 76 characters; the comparison takes the line breaks out.
     return sent.withColumn("payload", F.replace("payload", F.lit("\\r\\n"), F.lit("")))

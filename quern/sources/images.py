@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import struct
+from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.common import with_row_number
@@ -14,90 +13,48 @@ from quern.common import with_row_number
 IMAGE_SUFFIXES = (".png", ".jpg", ".jpeg", ".bmp", ".tiff", ".webp")
 
 
-def image_header(data: bytes) -> tuple[str, int, int]:
-    """Format, width and height from the header of an image; raises on anything else."""
-    if data[:8] == b"\x89PNG\r\n\x1a\n" and len(data) >= 24:
-        return ("png", *struct.unpack(">II", data[16:24]))
-    if data[:2] == b"BM" and len(data) >= 26:
-        width, height = struct.unpack("<ii", data[18:26])
-        return "bmp", width, abs(height)
-    if data[:4] == b"RIFF" and data[8:12] == b"WEBP" and len(data) >= 30:
-        return ("webp", *_webp_size(data))
-    if data[:4] in (b"II*\x00", b"MM\x00*"):
-        return ("tiff", *_tiff_size(data))
-    if data[:2] == b"\xff\xd8":
-        return ("jpeg", *_jpeg_size(data))
-    raise ValueError("invalid image")
-
-
-def _webp_size(data: bytes) -> tuple[int, int]:
-    if data[12:16] == b"VP8X":
-        return 1 + int.from_bytes(data[24:27], "little"), 1 + int.from_bytes(data[27:30], "little")
-    if data[12:16] == b"VP8L":
-        bits = int.from_bytes(data[21:25], "little")
-        return 1 + (bits & 0x3FFF), 1 + (bits >> 14 & 0x3FFF)
-    width, height = struct.unpack("<HH", data[26:30])
-    return width & 0x3FFF, height & 0x3FFF
-
-
-def _tiff_size(data: bytes) -> tuple[int, int]:
-    end = "<" if data[:2] == b"II" else ">"
-    at = struct.unpack(end + "I", data[4:8])[0]
-    size = {}
-    for i in range(struct.unpack(end + "H", data[at : at + 2])[0]):
-        entry = data[at + 2 + 12 * i : at + 14 + 12 * i]
-        tag, kind = struct.unpack(end + "HH", entry[:4])
-        if tag in (256, 257):
-            size[tag] = struct.unpack(end + ("H" if kind == 3 else "I"), entry[8 : 10 if kind == 3 else 12])[0]
-    if len(size) < 2:
-        raise ValueError("invalid image")
-    return size[256], size[257]
-
-
-def _jpeg_size(data: bytes) -> tuple[int, int]:
-    at = 2
-    while at + 9 <= len(data) and data[at] == 0xFF:
-        marker = data[at + 1]
-        if 0xC0 <= marker <= 0xCF and marker not in (0xC4, 0xC8, 0xCC):
-            height, width = struct.unpack(">HH", data[at + 5 : at + 9])
-            return width, height
-        at += 2 + struct.unpack(">H", data[at + 2 : at + 4])[0]
-    raise ValueError("invalid image")
-
-
-def image_info(content: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([image_header(c) for c in content], columns=["format", "width", "height"])
-
-
-def _image_files(spark: SparkSession, path: str) -> DataFrame:
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(path)
-        .filter(F.lower("path").rlike(r"\.(" + "|".join(s[1:] for s in IMAGE_SUFFIXES) + ")$"))
-    )
+def _image_files(spark: SparkSession, path: str, suffixes: Sequence[str] | None = IMAGE_SUFFIXES) -> DataFrame:
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    files = files.select("*", F.col("_metadata.file_path").alias("uri"))
+    if suffixes is None:
+        return files
+    return files.filter(F.lower("path").rlike(r"\.(" + "|".join(s[1:] for s in suffixes) + ")$"))
+
+
+def _plain(path: str) -> Column:
+    """One spelling of an address: Spark's readers differ in the slashes behind the scheme."""
+    return F.regexp_replace(path, "^([A-Za-z]+:)/+", "$1/")
+
 
+def image_format(content: str = "content") -> Column:
+    """Format from the first bytes; null for anything else."""
+    start = F.hex(F.substring(content, 1, 4))
+    marks = (("89504E47", "png"), ("424D", "bmp"), ("FFD8", "jpeg"), ("49492A00", "tiff"), ("4D4D002A", "tiff"))
+    return F.coalesce(*[F.when(start.startswith(mark), name) for mark, name in marks])
 
-def image_rows(files: DataFrame) -> DataFrame:
-    """Name, bytes, format, width, height and size of the files in ``(path, content, length)``.
 
-    A broken image raises. Only headers are parsed: contents are neither decoded nor shuffled.
+def read_images(spark: SparkSession, path: str, suffixes: Sequence[str] | None = IMAGE_SUFFIXES) -> DataFrame:
+    """One row per image below ``path``: name, path, bytes, format, width, height and size.
+
+    Spark's image source decodes the pictures, so a picture that it cannot read raises. ``suffixes=None`` takes
+    all files for images. Only paths and sizes are matched between the two readers.
     """
-    info = F.pandas_udf(image_info, "format string, width int, height int")
-    return files.withColumn("info", info("content")).select(
+    files = _image_files(spark, path, suffixes)
+    decoded = spark.read.format("image").option("recursiveFileLookup", True).load(path)
+    sizes = decoded.select(_plain("image.origin").alias("_at"), "image.width", "image.height")
+    broken = F.raise_error(F.concat(F.lit("invalid image "), "path")).cast("int")
+    width = F.when(F.col("width") > 0, F.col("width")).otherwise(broken)
+    return files.join(sizes, _plain("uri") == F.col("_at")).select(
         F.regexp_extract("path", "([^/]+)$", 1).alias("file_name"),
         "path",
         F.col("content").alias("bytes"),
-        "info.*",
+        image_format().alias("format"),
+        width.alias("width"),
+        "height",
         F.col("length").alias("size_bytes"),
     )
 
 
-def read_images(spark: SparkSession, path: str) -> DataFrame:
-    """One row per image below ``path``."""
-    return image_rows(_image_files(spark, path))
-
-
 def class_folders(files: DataFrame, path_col: str = "path") -> DataFrame:
     """Add ``label`` (parent folder) and ``label_index`` (place among the sorted labels).
 
@@ -110,4 +67,4 @@ def class_folders(files: DataFrame, path_col: str = "path") -> DataFrame:
 
 def read_class_folders(spark: SparkSession, path: str) -> DataFrame:
     """Images below ``path`` with the label taken from their folder."""
-    return class_folders(_image_files(spark, path))
+    return class_folders(_image_files(spark, path).drop("uri"))

@@ -1,26 +1,20 @@
-"""Spreadsheet workbooks (xlsx): zip archives of XML parts."""
+"""Sheets of workbooks, staged as rows of cells.
+
+Whoever drops workbooks into the landing folder stages each sheet as JSON lines with ``path``, ``sheet``,
+``sheet_no``, ``row_no`` and ``cells``; Spark splits and reads those in parallel, which it cannot do with the
+archives themselves.
+"""
 
 from __future__ import annotations
 
-import io
-import re
-import zipfile
-from collections.abc import Iterator, Sequence
-from datetime import datetime, timedelta
-from xml.etree import ElementTree
-from xml.sax.saxutils import escape
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.sources.tables import rows_to_frame
 
-# Namespaces of the workbook format and its built-in date formats.
-MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
-REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
-PACKAGE_REL = "{http://schemas.openxmlformats.org/package/2006/relationships}"
-BUILT_IN_DATES = {14, 15, 16, 17, 18, 19, 20, 21, 22, 45, 46, 47}
+STAGED = "path string, sheet string, sheet_no int, row_no int, cells array<string>"
 
 
 def column_index(letters: str) -> int:
@@ -31,125 +25,20 @@ def column_index(letters: str) -> int:
     return n - 1
 
 
-def column_letters(index: int) -> str:
-    out = ""
-    index += 1
-    while index:
-        index, rest = divmod(index - 1, 26)
-        out = chr(65 + rest) + out
-    return out
-
-
-def _shared_strings(book: zipfile.ZipFile) -> list[str]:
-    if "xl/sharedStrings.xml" not in book.namelist():
-        return []
-    root = ElementTree.fromstring(book.read("xl/sharedStrings.xml"))
-    return ["".join(t.text or "" for t in item.iter(MAIN + "t")) for item in root.iter(MAIN + "si")]
-
-
-def _date_styles(book: zipfile.ZipFile) -> set[int]:
-    if "xl/styles.xml" not in book.namelist():
-        return set()
-    root = ElementTree.fromstring(book.read("xl/styles.xml"))
-    dates = set(BUILT_IN_DATES)
-    for fmt in root.iter(MAIN + "numFmt"):
-        plain = re.sub(r'"[^"]*"|\[[^\]]*\]', "", fmt.get("formatCode", ""))
-        if re.search("[dmyhs]", plain, re.IGNORECASE):
-            dates.add(int(fmt.get("numFmtId")))
-    formats = root.find(MAIN + "cellXfs")
-    styles = [] if formats is None else formats.findall(MAIN + "xf")
-    return {i for i, xf in enumerate(styles) if int(xf.get("numFmtId", 0)) in dates}
-
-
-def _sheet_part(book: zipfile.ZipFile, sheet: str | None) -> str:
-    root = ElementTree.fromstring(book.read("xl/workbook.xml"))
-    sheets = root.find(MAIN + "sheets").findall(MAIN + "sheet")
-    if sheet is None:
-        view = root.find(f"{MAIN}bookViews/{MAIN}workbookView")
-        chosen = sheets[int(view.get("activeTab", 0)) if view is not None else 0]
-    else:
-        named = [s for s in sheets if s.get("name") == sheet]
-        if not named:
-            raise ValueError(f"no sheet named {sheet!r}")
-        chosen = named[0]
-    rels = ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels"))
-    target = {r.get("Id"): r.get("Target") for r in rels}[chosen.get(REL + "id")]
-    return target.lstrip("/") if target.startswith("/") else "xl/" + target
-
-
-def _cell_value(cell: ElementTree.Element, strings: list[str], dates: set[int]) -> str | None:
-    kind = cell.get("t", "n")
-    if kind == "inlineStr":
-        return "".join(t.text or "" for t in cell.iter(MAIN + "t"))
-    value = cell.findtext(MAIN + "v")
-    if value is None:
-        return None
-    if kind == "s":
-        return strings[int(value)]
-    if kind == "b":
-        return "True" if value == "1" else "False"
-    if kind == "n" and int(cell.get("s", -1)) in dates:
-        moment = datetime(1899, 12, 30) + timedelta(days=float(value))
-        return (moment + timedelta(microseconds=500)).isoformat(" ", "seconds")
-    return value
-
-
-def sheet_rows(content: bytes, sheet: str | None = None, first: int = 0, last: int | None = None) -> Iterator[list[str | None]]:
-    """Rows of one sheet as lists of text, one row in memory at a time."""
-    with zipfile.ZipFile(io.BytesIO(content)) as book:
-        strings, dates = _shared_strings(book), _date_styles(book)
-        with book.open(_sheet_part(book, sheet)) as part:
-            done = 0
-            for _, row in ElementTree.iterparse(part):
-                if row.tag != MAIN + "row":
-                    continue
-                number = int(row.get("r", done + 1))
-                for _ in range(number - done - 1):
-                    yield []
-                done = number
-                cells: list[str | None] = []
-                for i, cell in enumerate(row.findall(MAIN + "c")):
-                    ref = re.match("[A-Za-z]+", cell.get("r", ""))
-                    at = (column_index(ref.group()) if ref else i) - first
-                    if at < 0 or (last is not None and at > last - first):
-                        continue
-                    cells.extend([None] * (at + 1 - len(cells)))
-                    cells[at] = _cell_value(cell, strings, dates)
-                row.clear()
-                yield cells
-
+def sheet_rows(staged: DataFrame, sheet: str | None = None, columns: str | None = None, nrows: int | None = None) -> DataFrame:
+    """``(path, row_no, cells)`` of one sheet per workbook; row 0 is the header.
 
-def parse_workbooks(
-    files: DataFrame,
-    sheet: str | None = None,
-    columns: str | None = None,
-    nrows: int | None = None,
-) -> DataFrame:
-    """Cells of the workbooks in ``files(path, content)`` as ``(path, row_no, cells)``.
-
-    Row 0 is the header. ``sheet=None`` takes the active sheet, ``columns`` a range such as
-    ``A:R``, and ``nrows`` the number of data rows to read. Each workbook is parsed by the task that
-    holds it.
+    ``sheet=None`` takes the first sheet, ``columns`` a range such as ``A:R``, and ``nrows`` the number of data
+    rows. A workbook without the named sheet gives no rows.
     """
-    first, last = (column_index(c) for c in columns.split(":")) if columns else (0, None)
-
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                rows: list[tuple] = []
-                for number, cells in enumerate(sheet_rows(content, sheet, first, last)):
-                    if nrows is not None and number > nrows:
-                        break
-                    rows.append((path, number, cells))
-                    if len(rows) == 5000:
-                        yield pd.DataFrame(rows, columns=["path", "row_no", "cells"])
-                        rows = []
-                if rows:
-                    yield pd.DataFrame(rows, columns=["path", "row_no", "cells"])
-
-    return files.select("path", "content").mapInPandas(
-        parse, "path string, row_no int, cells array<string>"
-    )
+    rows = staged.filter((F.col("sheet_no") == 0) if sheet is None else (F.col("sheet") == sheet))
+    if nrows is not None:
+        rows = rows.filter(F.col("row_no") <= nrows)
+    cells = F.col("cells")
+    if columns:
+        first, last = (column_index(c) for c in columns.split(":"))
+        cells = F.slice(cells, first + 1, last - first + 1)
+    return rows.select("path", "row_no", cells.alias("cells"))
 
 
 def read_workbooks(
@@ -160,45 +49,7 @@ def read_workbooks(
     columns: str | None = None,
     nrows: int | None = None,
 ) -> DataFrame:
-    """Data rows of all workbooks below ``path`` under positional names, all text."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    rows = parse_workbooks(files.filter(F.lower("path").endswith(".xlsx")), sheet, columns, nrows)
-    return rows_to_frame(rows.filter("row_no > 0"), names).drop("n_cells")
-
-
-def workbook_bytes(rows: Sequence[Sequence[object]], sheet: str = "Sheet1") -> bytes:
-    """One-sheet workbook holding ``rows``; numbers stay numbers, all else is text."""
-
-    def cell(value: object, ref: str) -> str:
-        if value is None or value != value:
-            return ""
-        if isinstance(value, bool):
-            return f'<c r="{ref}" t="b"><v>{int(value)}</v></c>'
-        if isinstance(value, (int, float)):
-            return f'<c r="{ref}"><v>{value!r}</v></c>'
-        text = escape(re.sub("[\x00-\x08\x0b\x0c\x0e-\x1f]", "", str(value)))
-        return f'<c r="{ref}" t="inlineStr"><is><t xml:space="preserve">{text}</t></is></c>'
-
-    body = "".join(
-        f'<row r="{r}">' + "".join(cell(v, f"{column_letters(c)}{r}") for c, v in enumerate(row)) + "</row>"
-        for r, row in enumerate(rows, 1)
-    )
-    main, rel, package = MAIN.strip("{}"), REL.strip("{}"), PACKAGE_REL.strip("{}")
-    kind = "application/vnd.openxmlformats-officedocument.spreadsheetml"
-    parts = {
-        "[Content_Types].xml": '<Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types">'
-        '<Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/>'
-        f'<Override PartName="/xl/workbook.xml" ContentType="{kind}.sheet.main+xml"/>'
-        f'<Override PartName="/xl/worksheets/sheet1.xml" ContentType="{kind}.worksheet+xml"/></Types>',
-        "_rels/.rels": f'<Relationships xmlns="{package}"><Relationship Id="rId1" Type="{rel}/officeDocument" Target="xl/workbook.xml"/></Relationships>',
-        "xl/workbook.xml": f'<workbook xmlns="{main}" xmlns:r="{rel}"><sheets><sheet name="{escape(sheet)}" sheetId="1" r:id="rId1"/></sheets></workbook>',
-        "xl/_rels/workbook.xml.rels": f'<Relationships xmlns="{package}"><Relationship Id="rId1" Type="{rel}/worksheet" Target="worksheets/sheet1.xml"/></Relationships>',
-        "xl/worksheets/sheet1.xml": f'<worksheet xmlns="{main}"><sheetData>{body}</sheetData></worksheet>',
-    }
-    out = io.BytesIO()
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as book:
-        for name, text in parts.items():
-            # A fixed time stamp keeps the bytes the same when a task is retried.
-            info = zipfile.ZipInfo(name, (1980, 1, 1, 0, 0, 0))
-            book.writestr(info, '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>' + text, zipfile.ZIP_DEFLATED)
-    return out.getvalue()
+    """Data rows of all staged workbooks below ``path`` under positional names, all text."""
+    staged = spark.read.schema(STAGED).option("mode", "FAILFAST").option("recursiveFileLookup", True).json(path)
+    rows = sheet_rows(staged, sheet, columns, nrows).filter("row_no > 0")
+    return rows_to_frame(rows, names).drop("n_cells")

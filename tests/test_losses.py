@@ -123,7 +123,7 @@ def test_messages_take_several_tables_and_files(spark, tmp_path):
     groups = spark.createDataFrame([(7, "G")], "group_id int, display_name string")
     members = spark.createDataFrame([(7, "ann")], "group_id int, user string")
     rows = spark.createDataFrame([(1, 5), (1, 6)], "message_id int, v int")
-    both = outbox.table_attachment(rows, "message_id", ["v"], "first", "csv").unionByName(outbox.table_attachment(rows, "message_id", ["v"], "second", "csv"))
+    both = outbox.table_attachment(rows, "message_id", ["v"], "first").unionByName(outbox.table_attachment(rows, "message_id", ["v"], "second"))
     (tmp_path / "z.pdf").write_bytes(b"%PDF")
     filed = outbox.file_attachments(spark, str(tmp_path)).select(F.lit(1).alias("message_id"), F.lit(0).alias("part_no"), "attachment")
     parts = both.select("message_id", "part_no", "attachment").unionByName(filed)

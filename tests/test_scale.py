@@ -229,7 +229,7 @@ def test_tokens_are_computed_once(spark):
 
 def test_a_hot_message_becomes_numbered_messages(spark):
     rows = spark.range(95).select((F.col("id") % 2 * 0 + 1).alias("message_id"), "id").union(spark.createDataFrame([(2, 0)]))
-    files = outbox.table_attachment(rows, "message_id", ["id"], "t", "xlsx", rows_per_file=10)
+    files = outbox.table_attachment(rows, "message_id", ["id"], "t", rows_per_file=10)
     requests = spark.createDataFrame(
         [(i, "ann", "s", "Text", "b", ["x@example.com"]) for i in (1, 2, 3)],
         "message_id bigint, sender string, subject string, content_type string, body string, to_list array<string>",
@@ -242,4 +242,4 @@ def test_a_hot_message_becomes_numbered_messages(spark):
         found = json.loads(r["payload"])["message"].get("attachments", [])
         names[r["message_id"], r["message_no"]] = [a["name"] for a in found]
     assert {k: len(v) for k, v in names.items()} == {(1, 0): 4, (1, 1): 4, (1, 2): 2, (2, 0): 1, (3, 0): 0}
-    assert names[1, 0][:2] == ["t_1.xlsx", "t_1_2.xlsx"] and len({n for v in names.values() for n in v}) == 11
+    assert names[1, 0][:2] == ["t_1.csv", "t_1_2.csv"] and len({n for v in names.values() for n in v}) == 11
