@@ -14,9 +14,21 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Character references decoded in link targets; the ampersand comes last.
+REFERENCES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&"))
+
+
 def links(html: str | Column) -> Column:
-    """Targets of all anchors, in page order."""
-    return F.regexp_extract_all(_col(html), F.lit(r'(?is)<a\b[^>]*?\shref="([^"]*)"'), F.lit(1))
+    """Targets of all anchors, in page order: double-quoted, single-quoted or bare, with references decoded."""
+    target = r"""(?is)<a\b[^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+
+    def plain(h: Column) -> Column:
+        h = F.regexp_replace(h, "^[\"']|[\"']$", "")
+        for reference, character in REFERENCES:
+            h = F.replace(h, F.lit(reference), F.lit(character))
+        return h
+
+    return F.transform(F.regexp_extract_all(_col(html), F.lit(target), F.lit(1)), plain)
 
 
 def extract_links(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -35,8 +47,25 @@ def match_links(
     return pages.select(*kept, F.posexplode(found).alias("pos", "match"))
 
 
+def _without_dots(url: Column) -> Column:
+    """Resolve ``.`` and ``..`` in the path of an address."""
+    site = F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+    path = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)", 1)
+    tail = F.regexp_extract(url, r"([?#].*)$", 1)
+    parts = F.split(path, "/")
+    up = lambda a: F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(0)))
+    kept = F.aggregate(
+        F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))),
+        F.array().cast("array<string>"),
+        lambda a, s: F.when(s == ".", a).when(s == "..", up(a)).otherwise(F.concat(a, F.array(s))),
+    )
+    end = F.when(F.element_at(parts, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    resolved = F.concat(site, F.lit("/"), F.array_join(F.concat(kept, end), "/"), tail)
+    return F.when(path.rlike(r"/\.\.?(/|$)"), resolved).otherwise(url)
+
+
 def absolute_url(base: str | Column, href: str | Column) -> Column:
-    """Join a link to the address of its page."""
+    """Join a link to the address of its page; ``.`` and ``..`` are resolved."""
     b, h = _col(base), _col(href)
     plain = F.regexp_replace(b, r"[?#].*$", "")
     scheme = F.regexp_extract(plain, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1)
@@ -44,7 +73,7 @@ def absolute_url(base: str | Column, href: str | Column) -> Column:
     folder = F.when(plain == site, F.concat(site, F.lit("/"))).otherwise(
         F.regexp_replace(plain, r"[^/]*$", "")
     )
-    return (
+    return _without_dots(
         F.when(h == "", b)
         .when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), h)
         .when(h.startswith("//"), F.concat(scheme, h))

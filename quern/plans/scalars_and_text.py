@@ -11,7 +11,10 @@ from quern.plans.registry import Tables, query, sql_list
 
 # ---- links and names
 
-LINKS = r"""regexp_extract_all(html, '(?is)<a\b[^>]*?\shref="([^"]*)"', 1)"""
+DECODED = """regexp_replace(h, '^["'']|["'']$', '', 'g')"""
+for _reference, _character in scalars.REFERENCES:
+    DECODED = f"replace({DECODED}, '{_reference}', '{_character.replace(chr(39), chr(39) * 2)}')"
+LINKS = rf"""list_transform(regexp_extract_all(html, '(?is)<a\b[^>]*?\shref\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)', 1), lambda h: {DECODED})"""
 
 
 def listed(expression: str, source: str, keep: str) -> str:

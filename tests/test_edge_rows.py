@@ -84,10 +84,21 @@ def test_absolute_url(spark):
         "http://b.org/p", "https://c.org/p", "https://a.example.com/media/f.pdf", "https://a.example.com/x/y/g.pdf",
         "https://a.example.com/x/y/z.html?n=2", "https://a.example.com/x/y/z.html?q=1#top", "mailto:team@example.com", base,
     ]
+    dots = ["../g.pdf", "./g.pdf", "../../../g", "a/./b/../c?x=../y", "..", "/m/../n/.", "http://b.org/a/../c#d"]
+    rows = spark.createDataFrame([(base, h) for h in dots], "b string, h string")
+    from urllib.parse import urljoin
+
+    assert column(rows.select(scalars.absolute_url("b", "h"))) == [urljoin(base, h) for h in dots[:-1]] + ["http://b.org/c#d"]
     bare = spark.createDataFrame([("https://a.example.com", "g.pdf")], "b string, h string")
     assert column(bare.select(scalars.absolute_url("b", "h"))) == ["https://a.example.com/g.pdf"]
 
 
+def test_links_of_all_quote_forms(spark):
+    page = """<a href="/a?x=1&amp;y=2">1</a><A class='c' HREF = '/b'>2</A><a href=/c>3</a><a\nhref="">4</a><p href="/no">"""
+    rows = spark.createDataFrame([(page,)], "html string")
+    assert [r["href"] for r in scalars.extract_links(rows).collect()] == ["/a?x=1&y=2", "/b", "/c", ""]
+
+
 def test_file_ext(spark):
     rows = spark.createDataFrame([("/a/b.tar.GZ",), ("/a.b/c",), (".hidden",)], "p string")
     assert column(rows.select(scalars.file_ext("p"))) == [".gz", "", ""]
