@@ -24,9 +24,11 @@ from pyspark.sql import functions as F
 from quern.llm.process import per_process
 
 # Filtered lattices kept per process, and the length from which a part is drawn on its own and not kept.
-KEPT_PARTS = 300_000
+KEPT_PARTS = 200_000
 LONG_PART = 200
-BATCH_CHARS = 4 << 20
+BATCH_CHARS = 1 << 20
+LEARNED_PARTS = 10_000
+BATCH_IDS = 250_000
 _PART = re.compile(r" *[^ \n]+|\n| +")
 _MARK = "▁"  # stands for a space inside pieces
 
@@ -84,6 +86,18 @@ class Pieces:
         self.spelled: list[list[int]] = [[i] for i in range(self.size)]
         self._build_trie()
 
+        self.raw = np.frombuffer(b"".join(self.bytes_of), dtype=np.uint8)
+        self.raw_length = np.array([len(b) for b in self.bytes_of], dtype=np.int64)
+        self.raw_start = np.cumsum(self.raw_length) - self.raw_length
+
+    def spell(self, ids: np.ndarray, n: np.ndarray) -> tuple[bytes, list[int]]:
+        """Bytes of all ids one after another, and where those of each text (``n`` ids) begin."""
+        length = self.raw_length[ids]
+        ends = np.concatenate(([0], np.cumsum(length)))
+        inside = np.arange(ends[-1]) - np.repeat(ends[:-1], length)
+        raw = self.raw[np.repeat(self.raw_start[ids], length) + inside].tobytes()
+        return raw, ends[np.concatenate(([0], np.cumsum(n)))].tolist()
+
     def _build_trie(self) -> None:
         """Prefixes of the pieces as sorted keys (prefix, next character) -> longer prefix."""
         steps: dict[tuple[int, int], int] = {}
@@ -191,7 +205,18 @@ class Sampler:
         self.before = np.zeros(0, dtype=np.int32)
 
     def _learn(self, parts: list[str]) -> None:
-        """Filter the lattices of all parts at once, place by place from their starts."""
+        """Filter the lattices of new parts, in groups of bounded size, and put them behind the known ones."""
+        known = [(self.first_arc, self.cumulative, self.codes, self.before)]
+        places, arcs = len(self.first_arc) - 1, len(self.codes)
+        for at in range(0, len(parts), LEARNED_PARTS):
+            new = self._filtered(parts[at : at + LEARNED_PARTS], places, arcs)
+            places, arcs = places + len(new[0]), arcs + len(new[1])
+            known.append(new)
+        self.first_arc, self.cumulative, self.codes, self.before = (np.concatenate(c) for c in zip(*known, strict=True))
+
+    def _filtered(self, parts: list[str], base: int, arcs_before: int) -> tuple[np.ndarray, ...]:
+        """Filter all parts at once, place by place from their starts: ends of the places' pieces, and of each piece
+        the cumulative probability, code and place before it. Numbers count on from ``base`` and ``arcs_before``."""
         chars = np.frombuffer("".join(parts).encode("utf-32-le"), dtype="<u4").astype(np.int64)
         length = np.array([len(p) for p in parts], dtype=np.int64)
         stop = np.cumsum(length)
@@ -217,12 +242,13 @@ class Sampler:
         running = np.cumsum(chance)
         running -= np.repeat(np.concatenate(([0.0], running[ended[:-1] - 1])), count)
         running[ended - 1] = 1.0
-        base, arcs = len(self.first_arc) - 1, len(self.codes)
-        self.first_arc = np.concatenate((self.first_arc, (arcs + ended).astype(np.int32)))
-        self.cumulative = np.concatenate((self.cumulative, running.astype(np.float32)))
-        self.codes = np.concatenate((self.codes, codes))
-        self.before = np.concatenate((self.before, np.where(opens, -1, base + first - 1).astype(np.int32)))
         self.ends.update(zip(parts, (base + stop - 1).tolist(), strict=True))
+        return (
+            (arcs_before + ended).astype(np.int32),
+            running.astype(np.float32),
+            codes,
+            np.where(opens, -1, base + first - 1).astype(np.int32),
+        )
 
     def _draw(self, place: np.ndarray, chance: np.ndarray) -> np.ndarray:
         """The piece drawn at each place: the first whose cumulative probability exceeds ``chance``."""
@@ -322,7 +348,7 @@ def _groups(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
         yield start, group
 
 
-def _encoder(model: str, alpha: float, seed: int):
+def _encoder(model: str, alpha: float, seed: int, with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = per_process(("sampler", model, alpha), lambda: Sampler(model, alpha))
         for batch in batches:
@@ -334,7 +360,8 @@ def _encoder(model: str, alpha: float, seed: int):
                 null = rows["_text"].is_null().to_numpy(zero_copy_only=False)
                 ends = pa.array(np.concatenate(([0], np.cumsum(n))).astype(np.int32))
                 lists = pa.ListArray.from_arrays(ends, pa.array(ids), mask=pa.array(null))
-                yield pa.RecordBatch.from_pydict({"_row": rows["_row"], "piece_ids": lists})
+                out = {"_row": rows["_row"], "piece_ids": lists}
+                yield pa.RecordBatch.from_pydict(out | ({"_text": rows["_text"]} if with_text else {}))
 
     return run
 
@@ -351,32 +378,42 @@ def encode(
     front.
     """
     columns = list(dict.fromkeys((key, *keep)))
-    rows = docs.select(F.struct(*columns).alias("_row"), F.xxhash64(key).alias("_seed"), F.col(text).alias("_text"))
-    held = rows.schema["_row"].dataType.simpleString()
-    out = rows.mapInArrow(_encoder(model, alpha, seed), f"_row {held}, piece_ids array<int>")
-    return out.select("_row.*", "piece_ids")
+    # The text crosses once, whether or not it is kept.
+    rows = docs.select(
+        F.struct(*[c for c in columns if c != text] or [F.lit(0).alias("_none")]).alias("_row"),
+        F.xxhash64(key).alias("_seed"), F.col(text).alias("_text"),
+    )
+    held = rows.schema["_row"].dataType.simpleString() + ", piece_ids array<int>"
+    out = rows.mapInArrow(_encoder(model, alpha, seed, text in columns), f"_row {held}" + ", _text string" * (text in columns))
+    return out.select(*[F.col("_text").alias(c) if c == text else F.col("_row")[c].alias(c) for c in columns], "piece_ids")
 
 
 def _decoder(model: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = per_process(("pieces", model), lambda: Pieces(model, 1.0))
         for batch in batches:
-            lists = batch["_ids"]
-            ids = lists.flatten().to_pylist()
-            ends = np.concatenate(([0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)))).tolist()
-            known = pieces.bytes_of.__getitem__
-            texts = [
-                b"".join(map(known, ids[a:b])).decode()[1:] if there else None
-                for a, b, there in zip(ends, ends[1:], lists.is_valid().to_pylist(), strict=False)
-            ]
-            yield pa.RecordBatch.from_pydict({"_row": batch["_row"], "decoded": pa.array(texts, pa.string())})
+            n = batch["_ids"].value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            # Groups of texts with a bounded number of ids.
+            group = np.cumsum(n) // BATCH_IDS
+            cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
+            for start, stop in zip(cuts, cuts[1:], strict=False):
+                lists = batch["_ids"].slice(start, stop - start)
+                raw, ends = pieces.spell(lists.flatten().to_numpy(zero_copy_only=False), n[start:stop])
+                texts = [
+                    raw[a:b].decode()[1:] if there else None
+                    for a, b, there in zip(ends, ends[1:], lists.is_valid().to_pylist(), strict=False)
+                ]
+                yield pa.RecordBatch.from_pydict(
+                    {"_row": batch["_row"].slice(start, stop - start), "_ids": lists, "decoded": pa.array(texts, pa.string())}
+                )
 
     return run
 
 
 def decode(encoded: DataFrame, model: str, ids: str = "piece_ids") -> DataFrame:
     """``encoded`` with the column ``decoded``: the text that was encoded, character by character; null ids give null."""
-    rows = encoded.select(F.struct(*encoded.columns).alias("_row"), F.col(ids).alias("_ids"))
+    rest = [c for c in encoded.columns if c != ids] or [F.lit(0).alias("_none")]
+    rows = encoded.select(F.struct(*rest).alias("_row"), F.col(ids).alias("_ids"))
     held = rows.schema["_row"].dataType.simpleString()
-    out = rows.mapInArrow(_decoder(model), f"_row {held}, decoded string")
-    return out.select("_row.*", "decoded")
+    out = rows.mapInArrow(_decoder(model), f"_row {held}, _ids array<int>, decoded string")
+    return out.select(*[F.col("_ids").alias(c) if c == ids else F.col("_row")[c].alias(c) for c in encoded.columns], "decoded")
