@@ -28,6 +28,8 @@ HTTP_OK = "HTTP/1.1 200 OK"
 REVISIT_BYTES = 1000
 ARCHIVE_BYTES = 16 << 20
 BATCH_ROWS = 2048
+# Digests of repeated payloads up to this number (under 100 bytes each) are sent to the pages; beyond, pages are shuffled.
+BROADCAST_ROWS = 500_000
 
 _CAPTURE = (
     "page_id bigint, url string, url_key string, captured timestamp, record_type string, refers_to bigint, "
@@ -64,6 +66,7 @@ def with_leaders(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
     groups = p.where(F.col("n_bytes") >= least).groupBy("digest", "n_bytes")
     shared = groups.agg(F.max("page_id").alias("leader"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
     shared = materialize(shared, "leaders")
+    shared = F.broadcast(shared) if shared.count() <= BROADCAST_ROWS else shared
     return p.join(shared, ["digest", "n_bytes"], "left")
 
 
@@ -82,7 +85,7 @@ def _records(p: DataFrame) -> Column:
         F.lit(VERSION + CRLF),
         line("WARC-Type", F.when(revisit, "revisit").otherwise("response")),
         line("WARC-Record-ID", page(F.col("page_id"))),
-        line("WARC-Date", F.date_format("captured", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")),
+        line("WARC-Date", F.date_format(F.to_utc_timestamp("captured", F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")),
         line("WARC-Target-URI", _header_value(F.col("url"))),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
         line("WARC-Profile", profile),
@@ -105,7 +108,7 @@ def write_archives(
     captured: str | None = None,
     archive_bytes: int = ARCHIVE_BYTES,
 ) -> None:
-    """Write one record per row of ``pages`` into archives of about ``archive_bytes`` below ``path``.
+    """Write one record per row of ``pages`` into archives below ``path``, of about ``archive_bytes`` on average.
 
     Of rows with equal payloads of 1000 bytes or more the one with the largest ``key`` (an integer) is a response,
     and so is a repeated row of that key; the others are revisits that refer to it. A null body is an empty
@@ -118,13 +121,11 @@ def write_archives(
     p = pages.select(
         F.col(key).cast("long").alias("page_id"), F.col(url).alias("url"), time.alias("captured"), payload.alias("payload")
     )
-    total = p.agg(F.sum(F.octet_length("payload") + 600)).first()[0] or 0
-    p = with_leaders(p)
-    # A hash of the whole identity spreads captures of one address, and the same rows go to the same archive again.
-    p = p.withColumn("_archive", F.xxhash64("page_id", "url", "captured", "digest"))
-    p = p.repartition(max(1, -(-total // archive_bytes)), "_archive")
-    p = p.sortWithinPartitions(url_key(F.col("url")), "captured", "page_id")
-    p.select(_records(p).alias("value")).write.option("lineSep", RECORD_END).text(path)
+    size = p.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("payload") + 600).alias("bytes")).first()
+    # Each partition writes its captures in order, into as many archives as their size asks for; pages are not shuffled.
+    p = with_leaders(p).sortWithinPartitions(url_key(F.col("url")), "captured", "page_id")
+    records = max(1, archive_bytes * size["n"] // size["bytes"]) if size["n"] else 1
+    p.select(_records(p).alias("value")).write.option("lineSep", RECORD_END).option("maxRecordsPerFile", records).text(path)
 
 
 _HEADERS = re.compile(rb"([^\r\n:]+): ?([^\r\n]*)\r\n")
