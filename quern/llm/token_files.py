@@ -13,6 +13,7 @@ import re
 import struct
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,10 @@ from quern.llm.process import per_process
 BLOCK_BYTES = 4 << 20
 BLOCK_DOCS = 1 << 16
 BLOCKS_PER_FILE = 8
-CACHED_PIECES = 400_000
+CACHED_PIECES = 1_000_000
+JOINED_PIECES = 5_000
+# Fixed value: how byte-level vocabularies write a space.
+SPACE_SIGN = "\u0120"
 SAMPLE_EVERY = 256
 
 _BLOCK = "<4sIIIqQQQ"  # magic, id bytes, documents, null keys, first key, ids, bytes of keys, bytes of boundaries
@@ -155,7 +159,7 @@ class PieceEncoder:
 
     The tokenizer's pattern never joins characters across a space that is followed by something other than
     white space, so a text may be cut there and its pieces encoded on their own. Only use it with byte-level
-    tokenizers of that pattern. The cache is bounded and emptied when full.
+    tokenizers of that pattern. The cache is bounded; when full, its later half is dropped.
     """
 
     def __init__(self, path: str):
@@ -165,27 +169,49 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.opens = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        self.opens[[i for token, i in self.tokenizer.get_vocab().items() if token.startswith(SPACE_SIGN)]] = True
         self.first: dict[str, bytes] = {}
         self.rest: dict[str, bytes] = {}
 
     def _learn(self, cache: dict[str, bytes], pieces: set[str], lead: str) -> None:
-        if len(cache) + len(pieces) > CACHED_PIECES:
-            cache.clear()
-        new = list(pieces)
-        coded = self.tokenizer.encode_batch_fast([lead + p for p in new], add_special_tokens=False)
-        cache.update((p, np.array(e.ids, dtype=f"<u{self.width}").tobytes()) for p, e in zip(new, coded, strict=True))
+        if not lead:
+            self._learn_each(cache, list(pieces), lead)
+            return
+        self._learn_each(cache, [p for p in pieces if " " in p], lead)
+        plain = [p for p in pieces if " " not in p]
+        for at in range(0, len(plain), JOINED_PIECES):
+            self._learn_joined(cache, plain[at : at + JOINED_PIECES], lead)
+
+    def _learn_each(self, cache: dict[str, bytes], pieces: list[str], lead: str) -> None:
+        coded = self.tokenizer.encode_batch_fast([lead + p for p in pieces], add_special_tokens=False)
+        cache.update((p, np.array(e.ids, dtype=f"<u{self.width}").tobytes()) for p, e in zip(pieces, coded, strict=True))
+
+    def _learn_joined(self, cache: dict[str, bytes], pieces: list[str], lead: str) -> None:
+        """Encode pieces without inner spaces as one text; an id that begins with a space begins a piece."""
+        text = lead + lead.join(pieces)
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=f"<u{self.width}")
+        start = np.flatnonzero(self.opens[ids])
+        if len(start) != len(pieces):
+            self._learn_each(cache, pieces, lead)
+            return
+        raw, bounds = ids.tobytes(), (np.append(start, len(ids)) * self.width).tolist()
+        cache.update((p, raw[x:y]) for p, x, y in zip(pieces, bounds, bounds[1:], strict=False))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian bytes of ``width`` per id."""
         cut = [t.split(" ") if not _ODD_SPACE.search(t) else _CUT.split(t) for t in texts]
-        for cache, lead, used in (
-            (self.first, "", {c[0] for c in cut}),
-            (self.rest, " ", set().union(*(c[1:] for c in cut))),
+        for name, lead, used in (
+            ("first", "", {c[0] for c in cut}),
+            ("rest", " ", set().union(*(c[1:] for c in cut))),
         ):
-            if missing := used.difference(cache):
-                # After the cache was emptied all pieces in use are missing again.
-                full = len(cache) + len(missing) > CACHED_PIECES
-                self._learn(cache, used if full else missing, lead)
+            missing = used.difference(getattr(self, name))
+            if len(getattr(self, name)) + len(missing) > CACHED_PIECES:
+                # What was met first is what is frequent; the later half goes.
+                setattr(self, name, dict(islice(getattr(self, name).items(), CACHED_PIECES // 2)))
+                missing = used.difference(getattr(self, name))
+            if missing:
+                self._learn(getattr(self, name), missing, lead)
         first, rest = self.first, self.rest
         return [first[c[0]] + b"".join(map(rest.__getitem__, c[1:])) for c in cut]
 
