@@ -314,9 +314,9 @@ def topic_top_words(bow: DataFrame, doc_topic: DataFrame, key: str, n: int = 15)
 
 def auto_topics(
     vectors: DataFrame, words: Sequence[str], key: str, t_max: int = 150, min_share: float = 0.01, seed: int = 42,
-    max_iter: int = 10, sample: float = 1.0,
+    max_iter: int = 1, sample: float = 1.0,
 ) -> DataFrame:
-    """Number of topics from the data: a sparse prior over many topics, keeping those with a share.
+    """Number of topics from the data: a sparse prior over many topics in one pass, keeping those with a share.
 
     ``(topic, share, rank, word, weight)`` of the topics that carry at least ``min_share`` of the texts.
     """
