@@ -33,10 +33,10 @@ def test_coerce_truncates_and_keeps_going(spark):
 
 def test_exclude_rows_literal_and_intended(spark):
     rows = spark.createDataFrame(
-        [("BU List", "A", "x"), ("0", "A", "x"), (None, "A", "x"), ("U", None, "x"), ("U", "XS214", "x"), ("U", "A", None), ("U", "A", "SaaS"), ("U", "A", "x")],
+        [("BU List", "A", "x"), ("0", "A", "x"), (None, "A", "x"), ("U", None, "x"), ("U", "ZQ900", "x"), ("U", "A", None), ("U", "A", "SaaS"), ("U", "A", "x")],
         "unit string, name string, owner string",
     )
-    rules = {"name": ["XS214"], "owner": ["SaaS"]}
+    rules = {"name": ["ZQ900"], "owner": ["SaaS"]}
     assert column(shape.exclude_rows(rows, ["unit"], rules)) == ["BU List", "0", "U"]
     assert column(shape.exclude_rows(rows, ["unit"], {**rules, "unit": ["BU List", "0"]})) == ["U"]
 
