@@ -108,24 +108,6 @@ def _dominant_topic_bounds(t: Tables):
 TEST = "substr(md5('42:' || {}::VARCHAR), 1, 8) < '33333333'"
 
 
-@query("boosted_regression_bounds", f"SELECT count(*) AS n, true AS explains FROM lineitem WHERE {TEST.format('l_orderkey')}")
-def _boosted_regression_bounds(t: Tables):
-    """On held-out rows a few boosted trees explain over half of what a line on the quantity explains."""
-    rows = t.lineitem.select("l_orderkey", "l_quantity", "l_discount", "l_tax", "l_extendedprice")
-    rows = materialize(predict.split_train_test(rows, "l_orderkey"), "rows")
-    cols = ["l_quantity", "l_discount", "l_tax"]
-    held_out = rows.filter("part = 'test'")
-    model = predict.boosted_regression(rows.filter("part = 'train'"), cols, "l_extendedprice", rounds=10)
-    scored = model.transform(predict.features(held_out, cols))
-    found = predict.regression_metrics(scored, "l_extendedprice", "prediction").select("r2_percent")
-    return found.select(F.lit(held_out.count()).alias("n"), (F.col("r2_percent") > _linear_share(t)).alias("explains"))
-
-
-def _linear_share(t: Tables) -> float:
-    """Half of the variance, in percent, that a line on the quantity explains."""
-    return 50 * t.lineitem.stat.corr("l_quantity", "l_extendedprice") ** 2
-
-
 def _better_than_guessing(scored: DataFrame) -> DataFrame:
     right = F.avg((F.col("prediction") == F.col("label")).cast("double"))
     common = scored.groupBy("label").count().agg(F.max("count")).scalar()
