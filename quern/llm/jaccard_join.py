@@ -10,6 +10,7 @@ descended into.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +28,11 @@ PERCENT = 90
 BLOCK_SETS = 1000
 # A list of (key, cluster) rows up to this size is sent to the texts; beyond, the texts are shuffled to it.
 BROADCAST_ROWS = 1_000_000
+# Below this similarity parts hold so few shingles that a passage shared by many texts would make most of them
+# one cluster; then shingles that are frequent in one text of FREQUENT_SAMPLE are left out of the parts, which
+# can only make parts of two sets more alike. The list is bounded and changes the clusters, never the links.
+STRONG_PERCENT = 90
+FREQUENT_SAMPLE, FREQUENT_TEXTS, FREQUENT_MOST = 8, 3, 500_000
 BITS = 2048
 FANOUT = 8
 
@@ -53,16 +59,31 @@ def shingle_set(words: np.ndarray, size: int) -> np.ndarray:
     return np.unique(out)
 
 
+def _share_with_empty(size: int, parts: int, least: int) -> float:
+    """Share of sets that leave ``least`` parts or more empty, by the Poisson distribution."""
+    mean = parts * math.exp(-size / parts) if parts > 1 else 0.0
+    return 1.0 - sum(math.exp(-mean) * mean**k / math.factorial(k) for k in range(least))
+
+
 class SizeClasses:
-    """Ranges of set sizes so that similar sets are in the same or in neighbouring ranges, and for each
-    range the number of parts, one more than two similar sets (the smaller one in the range) can differ in."""
+    """Ranges of set sizes so that similar sets are in the same or in neighbouring ranges.
+
+    For each range there is a number of parts, ``spare`` more than two similar sets (the smaller one in the
+    range) can differ in, so that many parts at least are equal. ``spare`` is chosen so that few sets leave
+    as many parts empty: the others share a part that is not.
+    """
 
     def __init__(self, percent: int, most: int = 1 << 31):
-        self.starts, self.parts, start = [], [], 1
+        self.starts, self.parts, self.spare, start = [], [], [], 1
         while start <= most:
             end = start * 100 // percent
             self.starts.append(start)
-            self.parts.append((100 - percent) * (end + end * 100 // percent) // (100 + percent) + 1)
+            differ = (100 - percent) * (end + end * 100 // percent) // (100 + percent)
+            # More spare parts make all parts smaller, which weighs more for small sets.
+            spare = min(range(1, 33), key=lambda s: _share_with_empty(start, differ + s, s) + 0.3 * s / start)
+            spare = 1 if _share_with_empty(start, differ + 1, 1) < 0.1 else spare
+            self.parts.append(differ + spare)
+            self.spare.append(spare)
             start = end + 1
         self.percent = percent
         self._starts = np.array(self.starts)
@@ -74,20 +95,30 @@ class SizeClasses:
         return [own, own - 1] if below else [own]
 
 
-def part_keys(items: np.ndarray, classes: SizeClasses) -> np.ndarray:
-    """One key per part for each range of the set's size. An empty part has a key too: it can be the equal one."""
+def part_keys(items: np.ndarray, classes: SizeClasses, frequent: np.ndarray | None = None) -> np.ndarray:
+    """One key per part for each range of the set's size.
+
+    Two similar sets have ``spare`` equal parts. If all of these are empty, both sets have as many empty parts, and
+    only then empty parts have keys as well.
+    """
     if not len(items):
         return items
-    mixed, keys = _mix(items + _STEP), []
-    for c in classes.of(len(items)):
+    chosen, keys = classes.of(len(items)), []
+    if frequent is not None and len(frequent):
+        at = np.minimum(np.searchsorted(frequent, items), len(frequent) - 1)
+        items = items[frequent[at] != items]
+    mixed = _mix(items + _STEP)
+    for c in chosen:
         parts = classes.parts[c]
         part = ((items >> np.uint64(17)) % np.uint64(parts)).astype(np.int64)
         order = np.argsort(part, kind="stable")
         found, starts = np.unique(part[order], return_index=True)
         sums = np.zeros(parts, dtype=np.uint64)
-        sums[found] = np.add.reduceat(mixed[order], starts)
+        if len(found):
+            sums[found] = np.add.reduceat(mixed[order], starts)
         label = (np.uint64(c + 1) << np.uint64(40)) + np.arange(parts, dtype=np.uint64)
-        keys.append(_mix(sums + _mix(label * _STEP)))
+        keyed = _mix(sums + _mix(label * _STEP))
+        keys.append(keyed if parts - len(found) >= classes.spare[c] else keyed[found])
     return np.concatenate(keys)
 
 
@@ -109,9 +140,30 @@ def _rows(kind: int, count: int, **columns: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({"kind": pa.array(np.full(count, kind, dtype=np.int32)), **signed})
 
 
-def _first_pass(shingle: int, percent: int):
+def _shingles(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values, ends = _lists(batch["words"])
+            with np.errstate(over="ignore"):
+                sets = [shingle_set(values[a:b], shingle) for a, b in zip(ends, ends[1:], strict=False)]
+            if sets:
+                yield pa.RecordBatch.from_pydict({"shingle": pa.array(np.concatenate(sets).view(np.int64))})
+
+    return run
+
+
+def _frequent(docs: DataFrame, shingle: int, key: str, text: str):
+    """Broadcast, sorted hashes of the commonest shingles of a sample of the texts, chosen by key."""
+    sample = docs.where(F.pmod(F.xxhash64(key), F.lit(FREQUENT_SAMPLE)) == 0)
+    counts = _hashed(sample, key, text).mapInArrow(_shingles(shingle), "shingle bigint").groupBy("shingle").count()
+    best = counts.where(F.col("count") >= FREQUENT_TEXTS).orderBy(F.desc("count"), "shingle").limit(FREQUENT_MOST)
+    found = np.array([r["shingle"] for r in best.select("shingle").collect()], dtype=np.int64).view(np.uint64)
+    return docs.sparkSession.sparkContext.broadcast(np.sort(found))
+
+
+def _first_pass(shingle: int, percent: int, held=None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes = SizeClasses(percent)
+        classes, frequent = SizeClasses(percent), held.value if held else None
         for batch in batches:
             values, ends = _lists(batch["words"])
             n = batch.num_rows
@@ -127,7 +179,7 @@ def _first_pass(shingle: int, percent: int):
                     b[i] = _mix(np.bitwise_xor.reduce(_mix(items * _STEP)) + size[i])
                     if a[i] not in seen:  # copies have the same keys
                         seen.add(a[i])
-                        own = part_keys(items, classes)
+                        own = part_keys(items, classes, frequent)
                         keys.append(own)
                         owners.append(np.full(len(own), a[i], dtype=np.uint64))
             yield _rows(0, n, key=batch["key"], n=size, a=a, b=b)
@@ -329,7 +381,8 @@ def near_duplicates(
     of its own text; a row with a null key gets the component of its text but names none, and null if no row with
     a key has that text. Other columns are not read; an empty table gives no rows.
     """
-    first = _hashed(docs, key, text).mapInArrow(_first_pass(shingle, percent), _FIRST)
+    held = _frequent(docs, shingle, key, text) if percent < STRONG_PERCENT else None
+    first = _hashed(docs, key, text).mapInArrow(_first_pass(shingle, percent, held), _FIRST)
     # Texts are spread by their key, part keys by themselves.
     spread = F.when(F.col("kind") == 1, F.col("a")).otherwise(F.xxhash64("key", "b"))
     dealt = first.withColumn("_at", spread).repartition("_at").sortWithinPartitions("kind", "a").drop("_at")
