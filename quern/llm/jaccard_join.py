@@ -25,7 +25,7 @@ from quern.llm.words import lower_ascii, space_words
 SHINGLE = 3
 PERCENT = 90
 # Sets of one task at most; larger clusters are cut into blocks that are joined pair by pair.
-BLOCK_SETS = 1000
+BLOCK_SETS = 4000
 # A list of (key, cluster) rows up to this size is sent to the texts; beyond, the texts are shuffled to it.
 BROADCAST_ROWS = 1_000_000
 # Below this similarity parts hold so few shingles that a passage shared by many texts would make most of them
@@ -33,6 +33,7 @@ BROADCAST_ROWS = 1_000_000
 # can only make parts of two sets more alike. The list is bounded and changes the clusters, never the links.
 STRONG_PERCENT = 90
 FREQUENT_SAMPLE, FREQUENT_TEXTS, FREQUENT_MOST = 8, 3, 500_000
+CACHED_SHINGLES = 1_000_000
 BITS = 2048
 FANOUT = 8
 
@@ -188,8 +189,10 @@ def _first_pass(shingle: int, percent: int, held=None):
                 # Combined before the shuffle: a key leaves the batch once, what else shares it is an edge already.
                 key, first, place = np.unique(key, return_index=True, return_inverse=True)
                 hub = owner[first]
-                yield _rows(1, len(key), a=key, b=hub)
                 yield from _edges(hub[place], owner)
+                # Text by text, so that the repeated hash of the set compresses.
+                order = np.argsort(first)
+                yield _rows(1, len(key), a=key[order], b=hub[order])
 
     return run
 
@@ -283,12 +286,16 @@ def similar_links(a: SignatureTree, b: SignatureTree | None, percent: int) -> li
         return i
 
     members: dict[int, set] = {}
+    held = 0
 
     def as_set(tree: SignatureTree, i: int, node: int) -> set:
+        nonlocal held
         if node not in members:
-            if len(members) > 4096:
+            if held > CACHED_SHINGLES:
                 members.clear()
+                held = 0
             members[node] = set(tree.sets[i].tolist())
+            held += len(tree.sets[i])
         return members[node]
 
     links = []
