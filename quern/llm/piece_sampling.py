@@ -24,11 +24,11 @@ from pyspark.sql import functions as F
 from quern.llm.process import per_process
 
 # Filtered lattices kept per process, and the length from which a part is drawn on its own and not kept.
-KEPT_PARTS = 200_000
+KEPT_PARTS = 100_000
 LONG_PART = 200
-BATCH_CHARS = 1 << 20
+BATCH_CHARS = 1 << 19
 LEARNED_PARTS = 10_000
-BATCH_IDS = 250_000
+BATCH_IDS = 120_000
 _PART = re.compile(r" *[^ \n]+|\n| +")
 _MARK = "▁"  # stands for a space inside pieces
 
