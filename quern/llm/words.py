@@ -39,25 +39,27 @@ def with_window_hashes(df: DataFrame, words: str, sizes: dict[str, int]) -> Data
     """Add one column per entry of ``sizes`` (name: window size) with the hash of each window of that
     many consecutive words, in order; empty if the text has fewer words.
 
-    Windows of 2, 4, 8 ... words are hashed from two halves, others from such pieces, so that the cost per
-    word grows with the logarithm of the size. The columns are added one after another, because an
+    Windows of 2, 4, 8 ... words are hashed from two halves, others from the powers of two in their size, largest
+    first, so that the cost per word grows with the logarithm of the size and the hash of a window depends on its
+    words alone, never on the other sizes asked for. The columns are added one after another, because an
     expression used twice inside another would be evaluated twice.
     """
     out = df.withColumn("_h1", F.transform(words, lambda w: F.xxhash64(w)))
     made = {1: "_h1"}
 
-    def join(a: int, b: int) -> int:
+    def make(size: int) -> None:
         nonlocal out
+        if size in made:
+            return
+        # The smallest power of two in the size goes last; a power of two falls into halves.
+        b = size & -size if size & (size - 1) else size // 2
+        a = size - b
+        make(a)
+        make(b)
         both = F.zip_with(made[a], _shifted(made[b], a), lambda x, y: F.xxhash64(x, y))
-        out = out.withColumn(f"_h{a + b}", F.slice(both, 1, F.greatest(F.size(words) - (a + b - 1), F.lit(0))))
-        made[a + b] = f"_h{a + b}"
-        return a + b
+        out = out.withColumn(f"_h{size}", F.slice(both, 1, F.greatest(F.size(words) - (size - 1), F.lit(0))))
+        made[size] = f"_h{size}"
 
     for size in sorted(set(sizes.values())):
-        have = 1
-        while have * 2 <= size:
-            have = have * 2 if have * 2 in made else join(have, have)
-        while have < size:
-            rest = max(k for k in made if k <= size - have)
-            have = have + rest if have + rest in made else join(have, rest)
+        make(size)
     return out.withColumns({name: F.col(made[size]) for name, size in sizes.items()}).drop(*made.values())

@@ -4,7 +4,7 @@ from itertools import combinations
 
 import pytest
 
-from quern.llm import decontaminate, graph, jaccard_join, substring_dedup
+from quern.llm import decontaminate, graph, jaccard_join, substring_dedup, words
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 PLAIN = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -185,3 +185,28 @@ def test_decontaminate_drops_or_cuts(spark):
     assert decontaminate.decontaminate(frame(spark, []), bench).count() == 0
     with pytest.raises(ValueError):
         decontaminate.decontaminate(left, bench, "other")
+
+
+def test_window_hashes_depend_on_the_words_alone(spark):
+    """Each size from 1 to 15 asked for alone gives the hashes that it has among all sizes, one per window."""
+    rng = random.Random(8)
+    rows = [(i, sentence(rng, n, 3)) for i, n in enumerate([0, 1, 6, 15, 60])]
+    d = spark.createDataFrame(rows, "i long, w array<string>")
+    d = words.with_window_hashes(d, "w", {f"all{k}": k for k in range(1, 16)})
+    for k in range(1, 16):
+        d = words.with_window_hashes(d, "w", {f"one{k}": k})
+    for r in d.collect():
+        for k in range(1, 16):
+            windows = [tuple(r["w"][p : p + k]) for p in range(len(r["w"]) - k + 1)]
+            assert r[f"one{k}"] == r[f"all{k}"], k
+            assert len(set(zip(windows, r[f"one{k}"]))) == len(set(windows)) == len(set(r[f"one{k}"])), k
+
+
+@pytest.mark.parametrize("n, size", [(k, max(k, 10)) for k in range(1, 16)])
+def test_only_item_size_against_brute_force(spark, n, size):
+    rng = random.Random(n)
+    rows = [(i, " ".join(sentence(rng, 40))) for i in range(4)]
+    items = [(1, " ".join(rows[3][1].split()[20 : 20 + n])), (2, " ".join(f"none{k}" for k in range(n)))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.find_hits(frame(spark, rows), bench, size=size).withColumn("n", decontaminate.words_hit(decontaminate.F.col("hits"))).collect()
+    assert sorted((str(r["doc_id"]), r["n_words"], r["n"], r["items"]) for r in got) == brute_hits(rows, items, size)
