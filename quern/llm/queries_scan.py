@@ -103,7 +103,14 @@ FROM cut LEFT JOIN ids USING (doc_id) LEFT JOIN named USING (doc_id)
 
 @query("op10_license_scan", _OP10_SQL)
 def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
-    """Known licence sentences and recognised licences of every document."""
+    """Known licence sentences and recognised licences of every document, with sentences cut as in the SQL."""
+    found = license_scan.scan_licenses(table(spark, folder, "documents"), sentences=license_scan.SENTENCES, lines=False)
+    return found.withColumns({c: F.array_join(c, ",") for c in ("sentence_ids", "licenses")})
+
+
+@query("op10_license_lines")
+def op10_license_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with line ends as ends of sentences, which the SQL above does not know."""
     found = license_scan.scan_licenses(table(spark, folder, "documents"))
     return found.withColumns({c: F.array_join(c, ",") for c in ("sentence_ids", "licenses")})
 

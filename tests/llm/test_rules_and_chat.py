@@ -125,3 +125,42 @@ def test_licences_need_their_sentences_in_order(spark):
     ]
     got = sorted((str(r["doc_id"]), r["licenses"]) for r in license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect())
     assert got == [("1", ["MIT"]), ("2", []), ("3", ["CC-BY-NC-4.0", "MIT"]), ("4", []), ("4", ["Apache-2.0"]), ("5", []), ("None", [])]
+
+
+APACHE = """Copyright 2020 X
+
+{0}Licensed under the Apache License, Version 2.0 (the "License");
+{0}you may not use this file except in compliance with the License.
+{0}You may obtain a copy of the License at
+{0}
+{0}    http://www.apache.org/licenses/LICENSE-2.0
+{0}
+{0}Unless required by applicable law or agreed to in writing, software
+"""
+
+
+def test_licence_lines_and_full_texts(spark):
+    gpl = "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.\n"
+    want = [
+        ("words enerach\nAll rights reserved.", ["all-rights-reserved"]), ("from from\nLicensed under CC BY-NC 4.0.", ["CC-BY-NC-4.0"]),
+        ("thonhare.***\r\nLicensed under CC BY-NC 4.0\r\nmore", ["CC-BY-NC-4.0"]), (APACHE.format(""), ["Apache-2.0"]), (APACHE.format("# "), ["Apache-2.0"]),
+        ("Apache License\n    Version 2.0, January 2004\n  http://www.apache.org/licenses/", ["Apache-2.0"]), (gpl, ["GPL-3.0"]),
+        ("GNU GENERAL PUBLIC LICENSE\nVersion 2, June 1991\n\nCopyright (C) 1989\nEveryone is permitted to copy and distribute verbatim copies\nof this license document, but changing it is not allowed.", ["GPL-2.0"]),
+        ("a\nThis project is licensed under the terms of the MIT license", ["MIT"]), ("This work is licensed under a Creative Commons Attribution 4.0 International License.", ["CC-BY-4.0"]),
+        ("we hold that all rights reserved are void", []), ("nothing here", []),
+    ]
+    rows = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(want)], "doc_id long, text string")
+    assert [r["licenses"] for r in license_scan.scan_licenses(rows).orderBy("doc_id").collect()] == [x for _, x in want]
+
+
+def test_licence_lines_of_the_tables_are_all_found(spark):
+    """Lines are searched for the wordings without the sentence rule of the scan."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    names = {"all rights reserved": "all-rights-reserved", "licensed under cc by nc 4 0": "CC-BY-NC-4.0", "released under the mit license": "MIT"}
+    got, planted = {r["doc_id"]: r["licenses"] for r in license_scan.scan_licenses(docs).collect()}, 0
+    for r in docs.collect():
+        for line in (r["text"] or "").split("\n"):
+            name = names.get(re.sub("[^a-z0-9]+", " ", line.lower()).strip())
+            planted += name is not None
+            assert name is None or name in got[r["doc_id"]], r["doc_id"]
+    assert planted
