@@ -129,7 +129,7 @@ def _size_classifier(learn):
 
 _classified(
     "boosted_classifier_bounds", "part", "p_partkey",
-    _size_classifier(lambda train: predict.boosted_classifier(train, SCALED, "label", depth=4, step=0.3, rounds=5)),
+    _size_classifier(lambda train: predict.boosted_classifier(train, SCALED, "label")),
 )
 _classified(
     "softmax_regression_bounds", "part", "p_partkey",

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import array_to_vector
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.common import materialize, scratch_path
 from quern.operators import images, lineage, outbox, predict, retrieve
 from quern.plans.registry import Tables, query
+from quern.plans.topics_and_models import SCALED
 from quern.sinks import tables as sinks
 from quern.streaming import feeds
 
@@ -322,8 +324,19 @@ def _feedback_stream(t: Tables):
     base = t.part.select(
         (F.col("p_size") + 150.0).alias("Height_cm"), F.col("p_retailprice").alias("Weight_kg"), F.lit("M").alias("Size")
     )
+
+    def refit(rows: DataFrame):
+        # The model of the new table and its accuracy there.
+        cols = ["Height_cm", "Weight_kg"]
+        known = predict.standardise(rows.where("Height_cm IS NOT NULL AND Weight_kg IS NOT NULL"), cols)
+        known = predict.label_encode(known, "Size", name="label").withColumn("label", F.col("label").cast("double"))
+        known = materialize(known, "known")
+        model = predict.boosted_classifier(known, SCALED, "label")
+        scored = model.transform(predict.features(known, SCALED))
+        return model, scored.agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]
+
     rows, _ = feeds.feedback_stream(
-        t.spark, f"{root}/landing/*", f"{root}/store", f"{root}/progress", base, "Height_cm double, Weight_kg double, Size string"
+        t.spark, f"{root}/landing/*", f"{root}/store", f"{root}/progress", base, "Height_cm double, Weight_kg double, Size string", refit
     )
     return rows
 

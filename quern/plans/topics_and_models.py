@@ -300,7 +300,7 @@ def _boosted_regression(t: Tables):
     rows = t.lineitem.select("l_orderkey", "l_quantity", "l_discount", "l_tax", "l_extendedprice")
     rows = materialize(predict.split_train_test(rows, "l_orderkey"), "rows")
     cols = ["l_quantity", "l_discount", "l_tax"]
-    model = predict.boosted_regression(rows.filter("part = 'train'"), cols, "l_extendedprice", rounds=10)
+    model = predict.boosted_regression(rows.filter("part = 'train'"), cols, "l_extendedprice")
     scored = model.transform(predict.features(rows.filter("part = 'test'"), cols))
     return predict.regression_metrics(scored, "l_extendedprice", "prediction")
 
@@ -326,7 +326,7 @@ SCALED = ["Height_cm_scaled", "Weight_kg_scaled"]
 @query("boosted_classifier")
 def _boosted_classifier(t: Tables):
     rows = predict.split_train_test(_sizes(t), "p_partkey")
-    model = predict.boosted_classifier(rows.filter("part = 'train'"), SCALED, "label", depth=4, step=0.3, rounds=5)
+    model = predict.boosted_classifier(rows.filter("part = 'train'"), SCALED, "label")
     scored = model.transform(predict.features(rows.filter("part = 'test'"), SCALED))
     return scored.groupBy("Size").agg(
         F.count(F.lit(1)).alias("n"), F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy")
@@ -346,7 +346,7 @@ def _softmax_regression(t: Tables):
 @query("class_probabilities")
 def _class_probabilities(t: Tables):
     rows = _sizes(t)
-    model = predict.boosted_classifier(rows, SCALED, "label", depth=3, step=0.3, rounds=3)
+    model = predict.boosted_classifier(rows, SCALED, "label")
     shares = predict.class_probabilities(model, rows, SCALED)
     return scored_confidence(shares, "probability").select("p_partkey", "class_index", "confidence")
 
@@ -383,13 +383,13 @@ def _stratified_folds(t: Tables):
 
 @query("cross_validate")
 def _cross_validate(t: Tables):
-    rows = predict.stratified_folds(_sizes(t), "Size", ["p_partkey"], 5)
+    rows = predict.stratified_folds(_sizes(t), "Size", ["p_partkey"], 10)
     return predict.cross_validate(
         rows,
-        lambda train: predict.softmax_regression(train, SCALED, "label", 100),
+        lambda train: predict.softmax_regression(train, SCALED, "label"),
         lambda model, test: model.transform(predict.features(test, SCALED)),
         "label",
-        5,
+        10,
     )
 
 
