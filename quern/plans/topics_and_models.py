@@ -91,6 +91,11 @@ def _cooccurrence_counts(t: Tables):
     return topics.cooccurrence_counts(_tokens(t), "tokens", _language_topics(t, 5), 110)
 
 
+@query("cooccurrence_counts_20")
+def _cooccurrence_counts_20(t: Tables):
+    return topics.cooccurrence_counts(_tokens(t), "tokens", _language_topics(t, 20), 110)
+
+
 CV = f"""{_pairs_sql(5, 110)},
   p AS (SELECT pair.topic, i, j, pair.n::DOUBLE / total.n AS ab, x.n::DOUBLE / total.n AS pa, y.n::DOUBLE / total.n AS pb
         FROM pair JOIN single x ON x.word = a JOIN single y ON y.word = b, total),
@@ -106,6 +111,12 @@ def _coherence_cv(t: Tables):
     return found.withColumn("coherence", F.round("coherence", 6))
 
 
+@query("coherence_cv_20")
+def _coherence_cv_20(t: Tables):
+    found = topics.coherence_cv(_language_topics(t, 20), _tokens(t), "tokens")
+    return found.withColumn("coherence", F.round("coherence", 6))
+
+
 @query(
     "coherence_umass",
     f"""{_pairs_sql(10, None)} SELECT topic, round(avg(ln((pair.n::DOUBLE / total.n + 1e-12) / (single.n::DOUBLE / total.n))), 6)
@@ -182,13 +193,21 @@ def _auto_topics(t: Tables):
        WHERE l_discount >= 0.05 AND l_linenumber::VARCHAR || l_returnflag <> '1A' GROUP BY 1, 2""",
 )
 def _grid_to_rows(t: Tables):
+    return _grid(t.lineitem.filter("l_discount >= 0.05"))
+
+
+@query(
+    "grid_to_rows_all",
+    """SELECT l_linenumber AS row_key, l_returnflag AS flag, max(l_quantity) AS top FROM lineitem
+       WHERE l_linenumber::VARCHAR || l_returnflag <> '1A' GROUP BY 1, 2""",
+)
+def _grid_to_rows_all(t: Tables):
+    return _grid(t.lineitem)
+
+
+def _grid(rows: DataFrame) -> DataFrame:
     cells = F.when(F.concat(F.col("l_linenumber").cast("string"), "l_returnflag") != "1A", F.col("l_quantity"))
-    grid = (
-        t.lineitem.filter("l_discount >= 0.05")
-        .groupBy(F.col("l_linenumber").alias("row_key"))
-        .pivot("l_returnflag", ["A", "N", "R"])
-        .agg(F.max(cells))
-    )
+    grid = rows.groupBy(F.col("l_linenumber").alias("row_key")).pivot("l_returnflag", ["A", "N", "R"]).agg(F.max(cells))
     return predict.grid_to_rows(grid, "row_key", ["A", "N", "R"], "flag", "top")
 
 
