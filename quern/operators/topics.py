@@ -66,10 +66,12 @@ def lda_fit(
 ) -> LDAModel:
     """Variational Bayes with a fixed symmetric prior: ``max_iter`` passes over all texts.
 
-    ``sample`` below 1 makes each step read only about that share of the texts.
+    ``sample`` below 1 makes each step read only about that share of the texts. Steps over all texts weigh in
+    from the first one on; steps over a share start with a small weight.
     """
     fit = LDA(
         k=k, seed=seed, maxIter=max_iter, optimizer="online", subsamplingRate=sample,
+        learningOffset=1.0 if sample >= 1 else 1024.0,
         docConcentration=alpha if isinstance(alpha, list) else [1.0 / k if alpha is None else alpha],
         topicConcentration=1.0 / k if beta is None else beta,
         optimizeDocConcentration=False,
@@ -314,13 +316,20 @@ def topic_top_words(bow: DataFrame, doc_topic: DataFrame, key: str, n: int = 15)
 
 def auto_topics(
     vectors: DataFrame, words: Sequence[str], key: str, t_max: int = 150, min_share: float = 0.01, seed: int = 42,
-    max_iter: int = 1, sample: float = 1.0,
+    max_iter: int = 160, sample: float = 1.0, settled: float = 0.01,
 ) -> DataFrame:
-    """Number of topics from the data: a sparse prior over many topics in one pass, keeping those with a share.
+    """Number of topics from the data: a sparse prior over many topics, keeping those with a share.
 
-    ``(topic, share, rank, word, weight)`` of the topics that carry at least ``min_share`` of the texts.
+    ``(topic, share, rank, word, weight)`` of the topics that carry at least ``min_share`` of the texts. The passes
+    are doubled from 10 on until the bound per word gets better by less than the share ``settled``, or up to ``max_iter``.
     """
-    model = lda_fit(vectors, t_max, seed, max_iter, alpha=1.0 / t_max, beta=0.01, sample=sample)
+    passes, last = min(10, max_iter), None
+    while True:
+        model = lda_fit(vectors, t_max, seed, passes, alpha=1.0 / t_max, beta=0.01, sample=sample)
+        bound = log_perplexity(model, vectors)
+        if passes >= max_iter or (last is not None and abs(bound - last) < settled * abs(last)):
+            break
+        passes, last = min(2 * passes, max_iter), bound
     mixtures = doc_topics(model, vectors, key)
     shares = (
         mixtures.select(F.posexplode("mixture").alias("topic", "p"))

@@ -33,3 +33,17 @@ def test_twenty_words_against_brute_force(spark, folder):
         scores[topic] = float(np.mean(v @ whole / (np.linalg.norm(v, axis=1) * np.linalg.norm(whole))))
     assert {tuple(r) for r in QUERIES["cooccurrence_counts_20"](spark, folder).select("topic", "a", "b", "n").collect()} == want
     assert {r["topic"]: r["coherence"] for r in QUERIES["coherence_cv_20"](spark, folder).collect()} == pytest.approx(scores, abs=2e-6)
+
+
+def test_automatic_topics_are_the_planted_ones(spark):
+    """Short texts of one of three kinds, with common words among them; most found topics hold words of one kind."""
+    rng = np.random.default_rng(6)
+    rows = [(i, [f"t{i % 3}w{k}" if u < 0.6 else f"cw{k}" for k, u in zip(rng.integers(0, 12, 20), rng.random(20))]) for i in range(90)]
+    vectors, model = topics.count_vectors(spark.createDataFrame(rows, "doc_id long, tokens array<string>").coalesce(1).cache(), "tokens")
+    kinds, share = {}, {}
+    for r in topics.auto_topics(vectors.cache(), model.vocabulary, "doc_id", 30).collect():
+        kinds.setdefault(r["topic"], set()).update({r["word"][:2]} - {"cw"})
+        share[r["topic"]] = r["share"]
+    pure = [i for i, k in kinds.items() if len(k) == 1]
+    assert set().union(*[kinds[i] for i in pure]) == {"t0", "t1", "t2"}
+    assert sum(share[i] for i in pure) > 0.8
