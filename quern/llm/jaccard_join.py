@@ -15,25 +15,28 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.common import materialize
 from quern.llm.graph import connected
+from quern.llm.slices import lists, sliced
 from quern.llm.words import lower_ascii, space_words
 
 SHINGLE = 3
 PERCENT = 90
-# Sets of one task at most; larger clusters are cut into blocks that are joined pair by pair.
-BLOCK_SETS = 4000
+# Sets and shingles of one block (a longer set is one alone); larger clusters are cut into blocks that are joined
+# pair by pair.
+BLOCK_SETS, BLOCK_SHINGLES = 2000, 1_000_000
 # A list of (key, cluster) rows up to this size is sent to the texts; beyond, the texts are shuffled to it.
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 250_000
 # Below this similarity parts hold so few shingles that a passage shared by many texts would make most of them
 # one cluster; then shingles that are frequent in one text of FREQUENT_SAMPLE are left out of the parts, which
 # can only make parts of two sets more alike. The list is bounded and changes the clusters, never the links.
 STRONG_PERCENT = 90
 FREQUENT_SAMPLE, FREQUENT_TEXTS, FREQUENT_MOST = 8, 3, 500_000
-CACHED_SHINGLES = 1_000_000
+# Pairs of sets that are collected before they are compared, and shingles that are looked up at once.
+PAIRS_AT_ONCE, SHINGLES_AT_ONCE = 200_000, 1_000_000
 BITS = 2048
 FANOUT = 8
 
@@ -96,55 +99,60 @@ class SizeClasses:
         return [own, own - 1] if below else [own]
 
 
-def part_keys(items: np.ndarray, classes: SizeClasses, frequent: np.ndarray | None = None) -> np.ndarray:
-    """One key per part for each range of the set's size.
+def _keys(items: np.ndarray, range_: int, classes: SizeClasses, space: int) -> tuple[np.ndarray, bool]:
+    """Keys of the parts of a set for one range of sizes, and whether all equal parts might be empty.
 
     Two similar sets have ``spare`` equal parts. If all of these are empty, both sets have as many empty parts, and
     only then empty parts have keys as well.
     """
+    parts = classes.parts[range_]
+    part = ((items >> np.uint64(17)) % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    found, starts = np.unique(part[order], return_index=True)
+    sums = np.zeros(parts, dtype=np.uint64)
+    if len(found):
+        sums[found] = np.add.reduceat(_mix(items + _STEP)[order], starts)
+    label = (np.uint64(2 * range_ + space + 1) << np.uint64(40)) + np.arange(parts, dtype=np.uint64)
+    keyed = _mix(sums + _mix(label * _STEP))
+    hollow = parts - len(found) >= classes.spare[range_]
+    return keyed if hollow and not space else keyed[found], hollow
+
+
+def part_keys(items: np.ndarray, classes: SizeClasses, frequent: np.ndarray | None = None) -> np.ndarray:
+    """One key per part for each range of the set's size.
+
+    Without its frequent shingles a set may be left with so many empty parts that the equal parts of two similar
+    sets are all empty. Both sets then have that many, and only then a set also has the keys of all its shingles.
+    """
     if not len(items):
         return items
-    chosen, keys = classes.of(len(items)), []
-    if frequent is not None and len(frequent):
-        at = np.minimum(np.searchsorted(frequent, items), len(frequent) - 1)
-        items = items[frequent[at] != items]
-    mixed = _mix(items + _STEP)
-    for c in chosen:
-        parts = classes.parts[c]
-        part = ((items >> np.uint64(17)) % np.uint64(parts)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        found, starts = np.unique(part[order], return_index=True)
-        sums = np.zeros(parts, dtype=np.uint64)
-        if len(found):
-            sums[found] = np.add.reduceat(mixed[order], starts)
-        label = (np.uint64(c + 1) << np.uint64(40)) + np.arange(parts, dtype=np.uint64)
-        keyed = _mix(sums + _mix(label * _STEP))
-        keys.append(keyed if parts - len(found) >= classes.spare[c] else keyed[found])
+    if frequent is None or not len(frequent):
+        return np.concatenate([_keys(items, range_, classes, 0)[0] for range_ in classes.of(len(items))])
+    at = np.minimum(np.searchsorted(frequent, items), len(frequent) - 1)
+    keys, rare = [], items[frequent[at] != items]
+    for range_ in classes.of(len(items)):
+        found, hollow = _keys(rare, range_, classes, 1)
+        keys.append(found)
+        if hollow:
+            keys.append(_keys(items, range_, classes, 0)[0])
     return np.concatenate(keys)
 
 
-def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Values and boundaries of a column of integer lists without nulls."""
-    values = column.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-    lengths = column.value_lengths().to_numpy(zero_copy_only=False)
-    return values, np.concatenate(([0], np.cumsum(lengths))).astype(np.int64)
-
-
-# Rows of the first pass. kind 0: a text (key, size, set hashes a and b); 1: a part key a of the set b; 2: sets a and b share a key.
-_FIRST = "kind int, key bigint, n bigint, a bigint, b bigint"
+# Rows of the first pass. kind 0: a text (key, mark, size, set hashes a and b); 1: a part key a of the set b; 2: sets a and
+# b share a key.
+_FIRST = "kind int, key bigint, mark bigint, n bigint, a bigint, b bigint"
 
 
 def _rows(kind: int, count: int, **columns: np.ndarray) -> pa.RecordBatch:
     none = pa.nulls(count, pa.int64())
-    arrays = {c: columns[c] if c in columns else none for c in ("key", "n", "a", "b")}
-    signed = {c: pa.array(v.view(np.int64)) if isinstance(v, np.ndarray) else v for c, v in arrays.items()}
+    arrays = {c: columns[c] if c in columns else none for c in ("key", "mark", "n", "a", "b")}
+    signed = {c: pa.array(np.ascontiguousarray(v).view(np.int64)) if isinstance(v, np.ndarray) else v for c, v in arrays.items()}
     return pa.RecordBatch.from_pydict({"kind": pa.array(np.full(count, kind, dtype=np.int32)), **signed})
 
 
 def _shingles(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values, ends = _lists(batch["words"])
+        for _, values, ends in sliced(batches, "words"):
             with np.errstate(over="ignore"):
                 sets = [shingle_set(values[a:b], shingle) for a, b in zip(ends, ends[1:], strict=False)]
             if sets:
@@ -165,8 +173,7 @@ def _frequent(docs: DataFrame, shingle: int, key: str, text: str):
 def _first_pass(shingle: int, percent: int, held=None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, frequent = SizeClasses(percent), held.value if held else None
-        for batch in batches:
-            values, ends = _lists(batch["words"])
+        for batch, values, ends in sliced(batches, "words"):
             n = batch.num_rows
             size, a, b = (np.zeros(n, dtype=np.uint64) for _ in range(3))
             keys, owners, seen = [], [], set()
@@ -183,10 +190,10 @@ def _first_pass(shingle: int, percent: int, held=None):
                         own = part_keys(items, classes, frequent)
                         keys.append(own)
                         owners.append(np.full(len(own), a[i], dtype=np.uint64))
-            yield _rows(0, n, key=batch["key"], n=size, a=a, b=b)
+            yield _rows(0, n, key=batch["key"], mark=batch["mark"], n=size, a=a, b=b)
             if keys:
                 key, owner = np.concatenate(keys), np.concatenate(owners)
-                # Combined before the shuffle: a key leaves the batch once, what else shares it is an edge already.
+                # Combined before the shuffle: a key leaves the slice once, what else shares it is an edge already.
                 key, first, place = np.unique(key, return_index=True, return_inverse=True)
                 hub = owner[first]
                 yield from _edges(hub[place], owner)
@@ -270,61 +277,85 @@ def _children(level: int, tree: SignatureTree, x: np.ndarray) -> tuple[np.ndarra
     return x * FANOUT, np.minimum(FANOUT, below - x * FANOUT)
 
 
-def similar_links(a: SignatureTree, b: SignatureTree | None, percent: int) -> list[tuple[int, int]]:
-    """Links that connect what similar pairs connect: between the sets of ``a`` and ``b``, or inside ``a`` without ``b``.
-
-    Both trees are descended together. A pair whose sets are connected already is not compared, so that a
-    group of m near copies takes about m comparisons. Numbers of ``b`` count on after those of ``a``.
+class _Pairs:
+    """Compares pairs of sets exactly: links that connect what similar pairs connect, and for each set the weight
+    of all sets that it is similar to. Sets of ``b`` count on after those of ``a``."""
+
+    def __init__(self, a: SignatureTree, b: SignatureTree | None, percent: int, weight: np.ndarray):
+        self.percent, self.weight = percent, weight
+        sets = a.sets + (b.sets if b else [])
+        self.size = np.array([len(s) for s in sets], dtype=np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        # Shingles by their number among those that occur here.
+        self.flat = np.unique(np.concatenate(sets), return_inverse=True)[1]
+        self.seen = np.zeros(int(self.flat.max()) + 1, dtype=bool)
+        self.group, self.degree = np.arange(len(sets)), np.zeros(len(sets), dtype=np.int64)
+        self.links: list[tuple[int, int]] = []
+        self.waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        self.count = 0
+
+    def add(self, x: np.ndarray, y: np.ndarray) -> None:
+        self.waiting.append((x, y))
+        self.count += len(x)
+        if self.count >= PAIRS_AT_ONCE:
+            self.flush()
+
+    def flush(self) -> None:
+        if not self.count:
+            return
+        x = np.concatenate([x for x, _ in self.waiting])
+        y = np.concatenate([y for _, y in self.waiting])
+        self.waiting, self.count = [], 0
+        order = np.argsort(x, kind="stable")
+        x, y = x[order], y[order]
+        firsts = np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1])))
+        for start, end in zip(firsts, [*firsts[1:], len(x)], strict=True):
+            self._compare(int(x[start]), y[start:end])
+
+    def _compare(self, one: int, others: np.ndarray) -> None:
+        own = self.flat[self.start[one] : self.start[one] + self.size[one]]
+        self.seen[own] = True
+        parts = np.searchsorted(np.cumsum(self.size[others]), np.arange(SHINGLES_AT_ONCE, int(self.size[others].sum()), SHINGLES_AT_ONCE), side="left") + 1
+        for some in np.split(others, np.unique(parts)):
+            if not len(some):
+                continue
+            size = self.size[some]
+            at = np.cumsum(size) - size
+            place = np.repeat(self.start[some] - at, size) + np.arange(int(size.sum()))
+            both = np.add.reduceat(self.seen[self.flat[place]].astype(np.int64), at)
+            alike = some[100 * both >= self.percent * (self.size[one] + size - both)]
+            self.degree[one] += self.weight[alike].sum()
+            self.degree[alike] += self.weight[one]
+            groups, first = np.unique(self.group[alike], return_index=True)
+            new = groups != self.group[one]
+            if new.any():
+                self.links += [(one, int(other)) for other in alike[first[new]]]
+                self.group[np.isin(self.group, groups[new])] = self.group[one]
+        self.seen[own] = False
+
+
+def join_trees(a: SignatureTree, b: SignatureTree | None, percent: int, weight: np.ndarray) -> _Pairs:
+    """Compare the sets of ``a`` with those of ``b``, or with each other without ``b``; both trees are descended together.
+
+    ``weight`` is given in the order of the trees, those of ``b`` after those of ``a``.
     """
     other, shift = (a, 0) if b is None else (b, len(a.sets))
-    parent = list(range(len(a.sets) + (len(b.sets) if b else 0)))
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    members: dict[int, set] = {}
-    held = 0
-
-    def as_set(tree: SignatureTree, i: int, node: int) -> set:
-        nonlocal held
-        if node not in members:
-            if held > CACHED_SHINGLES:
-                members.clear()
-                held = 0
-            members[node] = set(tree.sets[i].tolist())
-            held += len(tree.sets[i])
-        return members[node]
-
-    links = []
-
-    def compare(x: np.ndarray, y: np.ndarray) -> None:
-        for i, j in zip(x.tolist(), y.tolist(), strict=True):
-            p, q = root(i), root(j + shift)
-            if p == q:
-                continue
-            s, t = as_set(a, i, i), as_set(other, j, j + shift)
-            both = len(s & t)
-            if 100 * both >= percent * (len(s) + len(t) - both):
-                parent[q] = p
-                links.append((a.order[i], other.order[j] + shift))
+    pairs = _Pairs(a, b, percent, weight)
 
     def descend(level: int, x: np.ndarray, y: np.ndarray) -> None:
         keep = _possible(a, other, level, x, y, percent)
         x, y = x[keep], y[keep]
         if level == 0:
-            compare(x, y)
+            pairs.add(x, y + shift)
             return
         # Depth first in slabs, so that the pairs in memory stay few.
         for at in range(0, len(x), 256):
             xs, ys = x[at : at + 256], y[at : at + 256]
             x0, nx = _children(level, a, xs)
             y0, ny = _children(level, other, ys)
-            pairs = nx * ny
-            which = np.repeat(np.arange(len(xs)), pairs)
-            k = np.arange(len(which)) - np.repeat(np.cumsum(pairs) - pairs, pairs)
+            pairs_ = nx * ny
+            which = np.repeat(np.arange(len(xs)), pairs_)
+            k = np.arange(len(which)) - np.repeat(np.cumsum(pairs_) - pairs_, pairs_)
             down_x, down_y = x0[which] + k // ny[which], y0[which] + k % ny[which]
             if b is None:
                 # Inside one tree each pair counts once; a node meets itself until the sets are reached.
@@ -333,102 +364,171 @@ def similar_links(a: SignatureTree, b: SignatureTree | None, percent: int) -> li
             descend(level - 1, down_x, down_y)
 
     top = max(len(a.levels), len(other.levels)) - 1
-    if len(a.sets) and len(other.sets) and (b is not None or len(a.sets) > 1):
+    if len(other.sets) and (b is not None or len(a.sets) > 1):
         descend(top, np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64))
-    return links
+        pairs.flush()
+    return pairs
+
+
+def similar_links(a: SignatureTree, b: SignatureTree | None, percent: int) -> list[tuple[int, int]]:
+    """Links that connect what similar pairs connect, as numbers of the sets given; those of ``b`` count on after those of ``a``."""
+    if not a.sets:
+        return []
+    order = [*a.order, *[len(a.sets) + i for i in (b.order if b else [])]]
+    found = join_trees(a, b, percent, np.ones(len(order), dtype=np.int64))
+    return [(order[x], order[y]) for x, y in found.links]
+
+
+# Sides of a task: two blocks that are joined, or one block that is joined with itself.
+_FIRST_BLOCK, _SECOND_BLOCK, _ONE_BLOCK = 0, 1, 2
+_LINKS = "a bigint, b bigint, n bigint"
 
 
 def _join_pass(shingle: int, percent: int):
-    """Joins the sets of each task. Rows come sorted by task and side, and a task's rows are consecutive."""
+    """Joins the sets of each task. Rows come sorted by task, side and set, and a task's rows are consecutive.
+
+    Returns links (a, b) that connect what is similar, and rows (a, n) with the number of texts similar to the set a.
+    """
 
     def finish(task: list) -> Iterator[pa.RecordBatch]:
-        first = [(k, s) for side, k, s in task if side == 0]
-        second = [(k, s) for side, k, s in task if side == 1]
-        trees = [SignatureTree([s for _, s in part]) for part in (first, second) if part]
-        if len(trees) == 2 or not second:
-            links = similar_links(trees[0], trees[1] if second else None, percent) if trees else []
-            keys = [k for k, _ in first] + [k for k, _ in second]
-            if links:
-                yield pa.RecordBatch.from_pydict(
-                    {"a": pa.array([keys[i] for i, _ in links], pa.int64()), "b": pa.array([keys[j] for _, j in links], pa.int64())}
-                )
+        sides = [[t for t in task if t[0] == side] for side in (_FIRST_BLOCK, _SECOND_BLOCK, _ONE_BLOCK)]
+        blocks = sides[:2] if task and task[0][0] != _ONE_BLOCK else sides[2:]
+        if not task or not all(blocks):
+            return
+        trees = [SignatureTree([items for _, _, _, items in block]) for block in blocks]
+        ordered = [block[i] for block, tree in zip(blocks, trees, strict=True) for i in tree.order]
+        names = np.array([name for _, name, _, _ in ordered], dtype=np.int64)
+        weight = np.array([docs for _, _, docs, _ in ordered], dtype=np.int64)
+        found = join_trees(trees[0], trees[1] if len(trees) == 2 else None, percent, weight)
+        if found.links:
+            x, y = (names[np.array(end)] for end in zip(*found.links, strict=True))
+            yield pa.RecordBatch.from_pydict({"a": pa.array(x), "b": pa.array(y), "n": pa.nulls(len(x), pa.int64())})
+            some = found.degree > 0
+            yield pa.RecordBatch.from_pydict(
+                {"a": pa.array(names[some]), "b": pa.nulls(int(some.sum()), pa.int64()), "n": pa.array(found.degree[some])}
+            )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, task = None, []
-        for batch in batches:
-            values, ends = _lists(batch["words"])
-            marks = zip(batch["task"].to_pylist(), batch["side"].to_pylist(), batch["key"].to_pylist(), strict=True)
-            for i, (name, side, key) in enumerate(marks):
+        for batch, values, ends in sliced(batches, "words"):
+            marks = zip(*[batch[c].to_pylist() for c in ("task", "side", "a", "docs")], strict=True)
+            for i, (name, side, a, docs) in enumerate(marks):
                 if name != now:
                     yield from finish(task)
                     now, task = name, []
+                # A repeated row brings its set again.
+                if task and task[-1][:2] == (side, a):
+                    continue
                 with np.errstate(over="ignore"):
                     items = shingle_set(values[ends[i] : ends[i + 1]], shingle)
                 if len(items):
-                    task.append((side, key, items))
+                    task.append((side, a, docs, items))
         yield from finish(task)
 
     return run
 
 
+def _mark(text: Column) -> Column:
+    """Tells rows of one key with different texts apart."""
+    return F.xxhash64(text)
+
+
 def _hashed(docs: DataFrame, key: str, text: str) -> DataFrame:
     words = space_words(lower_ascii(F.col(text)))
-    return docs.select(F.col(key).cast("long").alias("key"), F.transform(words, lambda w: F.xxhash64(w)).alias("words"))
+    return docs.select(
+        F.col(key).cast("long").alias("key"), _mark(F.col(text)).alias("mark"), F.transform(words, lambda w: F.xxhash64(w)).alias("words")
+    )
 
 
-def near_duplicates(
-    docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, key: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """One row per row of ``docs``: ``key``, ``n_shingles`` and ``component_id``.
+def _same_row(x: str, y: str) -> Column:
+    return F.col(f"{x}.key").eqNullSafe(F.col(f"{y}.key")) & (F.col(f"{x}.mark") == F.col(f"{y}.mark"))
 
-    Two texts are linked when 100 x common shingles >= ``percent`` x all their shingles; a component is what links
-    connect, named by its smallest key. Words are runs of characters other than ASCII white space, A-Z
-    lower-cased. A text of fewer than ``shingle`` words is one shingle; a null or empty text, or one without
-    words, has none and is linked with nothing. Keys are integers; of a repeated key each row gets the component
-    of its own text; a row with a null key gets the component of its text but names none, and null if no row with
-    a key has that text. Other columns are not read; an empty table gives no rows.
-    """
+
+def _resolved(docs: DataFrame, percent: int, shingle: int, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """One row per text (``key``, ``mark``, set as ``n``, ``a``, ``b``), and one per set: ``group`` (the set that names its
+    component), ``low`` (smallest key of the component), ``docs`` (texts with the set) and ``links`` (texts similar to it)."""
     held = _frequent(docs, shingle, key, text) if percent < STRONG_PERCENT else None
     first = _hashed(docs, key, text).mapInArrow(_first_pass(shingle, percent, held), _FIRST)
     # Texts are spread by their key, part keys by themselves.
     spread = F.when(F.col("kind") == 1, F.col("a")).otherwise(F.xxhash64("key", "b"))
     dealt = first.withColumn("_at", spread).repartition("_at").sortWithinPartitions("kind", "a").drop("_at")
     passed = materialize(dealt.mapInArrow(_second_pass, _FIRST), "sets")
-    texts = passed.where("kind = 0").select("key", "n", "a", "b")
+    texts = passed.where("kind = 0").select("key", "mark", "n", "a", "b")
     edges = passed.where("kind = 2").select("a", "b").distinct()
 
-    # One key per class of equal sets, smallest first; then the clusters of classes that share keys.
-    classes = materialize(texts.where("n > 0").groupBy("n", "a", "b").agg(F.min("key").alias("rep")), "classes")
+    # Equal sets are one class, for which its row with the smallest key stands; then the clusters of classes that share keys.
+    row = F.struct(F.col("key").isNull().alias("none"), "key", "mark")
+    classes = texts.where("n > 0").groupBy("n", "a", "b").agg(F.min(row).alias("row"), F.count(F.lit(1)).alias("docs"))
+    classes = materialize(classes, "classes")
     clusters = connected(edges)
-    members = classes.where("rep IS NOT NULL").join(clusters, F.col("a") == F.col("node")).select("rep", "root").distinct()
+    members = classes.join(clusters, F.col("a") == F.col("node")).select("row.key", "row.mark", "a", "n", "docs", "root")
     members = materialize(members, "members")
-    blocks = members.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
-    blocks = blocks.where("n > 1").select("root", F.ceil(F.col("n") / BLOCK_SETS).cast("int").alias("blocks"))
-    members = materialize(members.join(blocks, "root"), "blocks")
+    blocks = members.groupBy("root").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles")).where("sets > 1")
+    needed = F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.least(F.col("sets"), F.ceil(F.col("shingles") / BLOCK_SHINGLES)))
+    members = materialize(members.join(blocks.select("root", needed.cast("int").alias("blocks")), "root"), "blocks")
 
     # A cluster of one block is one task; otherwise every pair of blocks is one.
-    own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
-    chosen = members.withColumnRenamed("rep", "key")
-    chosen = F.broadcast(chosen) if chosen.count() <= BROADCAST_ROWS else chosen
-    sets = _hashed(docs.where(F.col(key).isNotNull()), key, text).join(chosen, "key")
-    sets = sets.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    chosen = F.broadcast(members) if members.count() <= BROADCAST_ROWS else members
+    sets = _hashed(docs, key, text).alias("d").join(chosen.alias("m"), _same_row("d", "m")).select("m.a", "root", "blocks", "docs", "words")
+    sets = sets.withColumn("own", F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int"))
+    sets = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     low, high = F.least("own", "other"), F.greatest("own", "other")
-    tasks = sets.select(
-        F.struct("root", low.alias("low"), high.alias("high")).alias("_task"),
-        (F.col("own") > low).cast("int").alias("side"),
-        "key",
-        "words",
-    ).withColumn("task", F.concat_ws("-", "_task.root", "_task.low", "_task.high"))
-    tasks = tasks.select("task", "side", "key", "words").repartition("task").sortWithinPartitions("task", "side", "key")
-    links = materialize(tasks.mapInArrow(_join_pass(shingle, percent), "a bigint, b bigint"), "links")
-
-    groups = connected(links)
-    named = groups.groupBy("root").agg(F.min("node").alias("component_id"))
-    named = groups.join(named, "root").select(F.col("node").alias("rep"), "component_id")
-    labels = classes.join(named, "rep", "left").select("n", "a", "b", F.coalesce("component_id", "rep").alias("component_id"))
-    found = texts.join(materialize(labels, "labels"), ["n", "a", "b"], "left")
+    side = F.when(low == high, _ONE_BLOCK).when(F.col("own") == low, _FIRST_BLOCK).otherwise(_SECOND_BLOCK)
+    tasks = sets.select(F.concat_ws("-", "root", low, high).alias("task"), side.alias("side"), "a", "docs", "words")
+    tasks = tasks.repartition("task").sortWithinPartitions("task", "side", "a")
+    found = materialize(tasks.mapInArrow(_join_pass(shingle, percent), _LINKS), "links")
+
+    groups = connected(found.where("b IS NOT NULL").select("a", "b"))
+    degrees = found.where("n IS NOT NULL").groupBy("a").agg(F.sum("n").alias("links"))
+    sets = classes.join(groups, F.col("a") == F.col("node"), "left").join(degrees, "a", "left")
+    sets = sets.select("n", "a", "b", F.col("row.key").alias("key"), "docs", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "a").alias("group"))
+    sets = materialize(sets, "grouped_sets")
+    lows = materialize(sets.groupBy("group").agg(F.min("key").alias("low")), "lows")
+    return texts, sets.drop("key").join(lows, "group")
+
+
+def near_duplicates(
+    docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, key: str = "doc_id", text: str = "text", links: bool = False
+) -> DataFrame:
+    """One row per row of ``docs``: ``key``, ``n_shingles`` and ``component_id``; with ``links`` also ``n_links``.
+
+    Two texts are linked when 100 x common shingles >= ``percent`` x all their shingles; a component is what links
+    connect, named by its smallest key; ``n_links`` counts the other rows that a row is linked with. Words are runs of
+    characters other than ASCII white space, A-Z lower-cased. A text of fewer than ``shingle`` words is one shingle; a null
+    or empty text, or one without words, has none and is linked with nothing. Keys are integers; of a repeated key each
+    row gets the component of its own text; a row with a null key names no component, and a component of such rows has
+    the name null. Other columns are not read; an empty table gives no rows.
+    """
+    texts, sets = _resolved(docs, percent, shingle, key, text)
+    found = texts.join(materialize(sets, "labels"), ["n", "a", "b"], "left")
     return found.select(
         F.col("key").alias(key),
         F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("key")).alias("component_id"),
+        F.when(F.col("n") > 0, F.col("low")).otherwise(F.col("key")).alias("component_id"),
+        *([F.coalesce(F.col("links") + F.col("docs") - 1, F.lit(0)).alias("n_links")] if links else []),
     )
+
+
+def drop_near_duplicates(
+    docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """``docs`` with all columns and one row of each component: that with the smallest key (null last), then text mark.
+
+    A row is known by its key and its text, so of one key with two texts each is judged on its own. Of rows that
+    repeat key and text one stays, by a hash of all columns. Rows without words stay as they are.
+    """
+    texts, sets = _resolved(docs, percent, shingle, key, text)
+    rows = materialize(texts.where("n > 0").join(sets.select("n", "a", "b", "group"), ["n", "a", "b"]).select("key", "mark", "group"), "text_rows")
+    row = F.struct(F.col("key").isNull().alias("none"), "key", "mark")
+    crowds = rows.groupBy("group").agg(F.count(F.lit(1)).alias("count"), F.min(row).alias("kept")).where("count > 1")
+    joined = rows.alias("r").join(materialize(crowds, "crowds").alias("c"), "group").select("r.key", "r.mark", F.col("kept.key").alias("k"), F.col("kept.mark").alias("m"))
+    is_kept = F.col("key").eqNullSafe(F.col("k")) & (F.col("mark") == F.col("m"))
+    gone = materialize(joined.where(~is_kept).select("key", "mark").distinct(), "gone")
+    twice = materialize(joined.where(is_kept).groupBy("key", "mark").count().where("count > 1").drop("count"), "twice")
+    held = docs.select(F.struct(*docs.columns).alias("doc"), F.col(key).cast("long").alias("key"), _mark(F.col(text)).alias("mark")).alias("d")
+    gone, twice = (F.broadcast(t) if t.count() <= BROADCAST_ROWS else t for t in (gone, twice))
+    left = held.join(gone.alias("g"), _same_row("d", "g"), "left_anti").alias("d")
+    once = left.join(twice.alias("t"), _same_row("d", "t"), "left_anti").select("doc")
+    of_many = left.join(twice.alias("t"), _same_row("d", "t"), "left_semi")
+    of_many = of_many.groupBy("key", "mark").agg(F.min_by("doc", F.xxhash64("doc")).alias("doc")).select("doc")
+    return once.unionByName(of_many).select("doc.*")

@@ -15,16 +15,17 @@ s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) <
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
 c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2),
 link AS (SELECT a, b FROM c JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * k >= 90 * (p.n + q.n - k)),
+deg AS (SELECT a, count(*) AS n_links FROM link GROUP BY 1),
 reach(a, b) AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a)
-SELECT t.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(t.doc_id, coalesce(m.low, t.doc_id)) AS component_id
-FROM t LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a, min(b) AS low FROM reach GROUP BY 1) m ON m.a = t.doc_id
+SELECT t.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(t.doc_id, coalesce(m.low, t.doc_id)) AS component_id, coalesce(n_links, 0)::BIGINT AS n_links
+FROM t LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a, min(b) AS low FROM reach GROUP BY 1) m ON m.a = t.doc_id LEFT JOIN deg ON deg.a = t.doc_id
 """
 
 
 @query("op7_jaccard_join", _OP7_SQL)
 def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
-    """Components of documents whose sets of 3-word shingles are alike by 90 % or more."""
-    return jaccard_join.near_duplicates(table(spark, folder, "documents"))
+    """Components and numbers of links of documents whose sets of 3-word shingles are alike by 90 % or more."""
+    return jaccard_join.near_duplicates(table(spark, folder, "documents"), links=True)
 
 
 _OP5_SQL = r"""

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.common import materialize
+from quern.llm.slices import lists, sliced
 from quern.llm.words import SPACE, space_words
 
 WINDOW = 35
@@ -90,12 +91,6 @@ def stretches(words: np.ndarray, ends: np.ndarray, window: int = WINDOW, anchor:
     return text[first], starts[first] - ends[text[first]], count, hashes[anchor][place[first]], whole, each
 
 
-def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Values and boundaries of a column of integer lists without nulls."""
-    values = column.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-    return values, np.concatenate(([0], np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False)))).astype(np.int64)
-
-
 def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(values).view(np.int64))
 
@@ -104,8 +99,7 @@ def _anchors(window: int, anchor: int):
     """Rows of one stretch each: the text (key, mark), its first window, their number, and the two hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words, ends = _lists(batch["words"])
+        for batch, words, ends in sliced(batches, "words"):
             text, low, count, a, b, _ = stretches(words, ends, window, anchor)
             which = pa.array(text)
             yield pa.RecordBatch.from_pydict(
@@ -120,10 +114,9 @@ def _windows(window: int, anchor: int):
     """The windows of the chosen stretches of each text, with the weight of the stretch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words, ends = _lists(batch["words"])
+        for batch, words, ends in sliced(batches, "words"):
             chosen, weights = batch["lows"], batch["weights"]
-            lows, bounds = _lists(chosen)
+            lows, bounds = lists(chosen)
             weight = weights.flatten().to_numpy(zero_copy_only=False)
             text, low, count, a, _, each = stretches(words, ends, window, anchor)
             # Stretches are found again by text and first window; both lists are put in that order.
@@ -217,7 +210,7 @@ def repeated_spans(
     return spans.groupBy("key", "mark", "no").agg(F.min("low").alias("low"), F.max("high").alias("high")).drop("no")
 
 
-def _span_lists(docs: DataFrame, key: str, text: str, window: int, anchor: int) -> tuple[DataFrame, int]:
+def _spanlists(docs: DataFrame, key: str, text: str, window: int, anchor: int) -> tuple[DataFrame, int]:
     spans = repeated_spans(docs, key, text, window, anchor)
     lists = spans.groupBy("key", "mark").agg(F.sort_array(F.collect_list(F.struct("low", "high"))).alias("spans"))
     lists = materialize(lists, "spans")
@@ -244,7 +237,7 @@ def kept_words(
     or empty text, or one shorter than ``window``, keeps all it has. A repeated row repeats its text; keys are
     integers and may repeat or be null; other columns are not read; an empty table gives no rows.
     """
-    lists, total = _span_lists(docs, key, text, window, anchor)
+    lists, total = _spanlists(docs, key, text, window, anchor)
     texts = docs.select(F.col(key).cast("long").alias("key"), _mark(F.col(text)).alias("mark"), F.col(text).alias("text"))
     joined = _attach(texts, lists, total, "left").withColumn("words", space_words(F.col("text")))
     return joined.select(F.col("key").alias(key), F.size("words").cast("long").alias("n_words"), _left("words", "spans").alias("kept"))
@@ -257,7 +250,7 @@ def remove_repeats(
 
     Texts without repeats come back unchanged, null texts as null. Otherwise as :func:`kept_words`.
     """
-    lists, total = _span_lists(docs, key, text, window, anchor)
+    lists, total = _spanlists(docs, key, text, window, anchor)
     held = docs.select(
         F.struct(*docs.columns).alias("_doc"),
         F.col(key).cast("long").alias("key"), _mark(F.col(text)).alias("mark"), F.col(text).alias("_text"),

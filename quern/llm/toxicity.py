@@ -32,6 +32,8 @@ MIN_TEXTS = 2
 BEGINNINGS = (5, 6, 7)
 # A feature's value is log(1 + occurrences per PER_WORDS words); shorter texts than LEAST_WORDS count as so long.
 PER_WORDS, LEAST_WORDS = 300, 30
+# Penalty of the logistic models: the more labelled texts, the less.
+PENALTY_ROWS, MOST_PENALTY = 0.75, 3e-4
 
 
 @dataclass(frozen=True)
@@ -148,12 +150,12 @@ def _scored(
 
 
 def _fit(df: DataFrame, own: Sequence[int], before: Sequence[str], label: str) -> tuple[LogisticRegressionModel | None, float]:
-    told = df.agg(F.avg(label).alias("share"), F.min(label).alias("low"), F.max(label).alias("high")).first()
+    told = df.agg(F.avg(label).alias("share"), F.min(label).alias("low"), F.max(label).alias("high"), F.count(label).alias("n")).first()
     if told["share"] is None or told["low"] == told["high"]:
         return None, float(told["share"] or 0.0)
     learner = LogisticRegression(
         featuresCol="_inputs", labelCol=label, probabilityCol="_probability", rawPredictionCol="_raw",
-        predictionCol="_prediction", regParam=3e-4, standardization=False, maxIter=60, aggregationDepth=2,
+        predictionCol="_prediction", regParam=min(MOST_PENALTY, PENALTY_ROWS / told["n"]), standardization=False, maxIter=60, aggregationDepth=2,
     )
     return learner.fit(_inputs(df, own, before)), float(told["share"])
 

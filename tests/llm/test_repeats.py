@@ -2,9 +2,10 @@ import random
 import re
 from itertools import combinations
 
+import pyarrow as pa
 import pytest
 
-from quern.llm import decontaminate, graph, jaccard_join, substring_dedup, words
+from quern.llm import decontaminate, graph, jaccard_join, slices, substring_dedup, words
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 PLAIN = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -106,6 +107,43 @@ def test_signature_tree_finds_the_components_of_all_pairs():
     assert components(links, n) == components(across, n)
 
 
+def brute_links(rows, percent, shingle):
+    """For each row number the number of other rows whose sets are similar."""
+    sets = []
+    for _, t in rows:
+        w = WORD.findall((t or "").translate(UPPER))
+        sets.append({tuple(w[k : k + shingle]) for k in range(len(w) - shingle + 1)} if len(w) >= shingle else ({tuple(w)} if w else set()))
+    alike = lambda s, t: bool(s) and bool(t) and 100 * len(s & t) >= percent * len(s | t)
+    return [sum(alike(s, t) for j, t in enumerate(sets) if i != j) for i, s in enumerate(sets)]
+
+
+@pytest.mark.parametrize(("percent", "shingle", "block", "frequent"), [(90, 3, 1000, 3), (80, 5, 2, 3), (60, 1, 3, 1)])
+def test_links_against_brute_force(spark, copies, monkeypatch, percent, shingle, block, frequent):
+    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", block)
+    monkeypatch.setattr(jaccard_join, "FREQUENT_TEXTS", frequent)
+    monkeypatch.setattr(jaccard_join, "FREQUENT_SAMPLE", 1)
+    rows = copies + [(5, copies[9][1]), (5, copies[9][1]), (5, copies[20][1]), (None, copies[9][1]), (None, "only here, three"), (None, "only here, three")]
+    got = jaccard_join.near_duplicates(frame(spark, rows), percent, shingle, links=True).collect()
+    counts = brute_links(rows, percent, shingle)
+    # One name per component: of keys that are repeated each text has its own.
+    assert sorted((str(r["doc_id"]), r["n_links"]) for r in got) == sorted((str(i), n) for (i, _), n in zip(rows, counts, strict=True))
+
+
+def test_repeated_keys_are_told_apart_by_their_texts(spark):
+    a, b = " ".join(f"a{k}" for k in range(60)), " ".join(f"b{k}" for k in range(60))
+    rows = [(1, a), (5, a), (5, b), (9, b + " end"), (9, b + " end"), (2, None), (2, None), (3, ""), (None, a + " x"), (7, "alone here")]
+    got = {(r["doc_id"], r["component_id"]) for r in jaccard_join.near_duplicates(frame(spark, rows), 80, 5).collect()}
+    assert got == {(1, 1), (5, 1), (5, 5), (9, 5), (2, 2), (3, 3), (None, 1), (7, 7)}
+    left = jaccard_join.drop_near_duplicates(frame(spark, rows), 80, 5)
+    assert left.columns == frame(spark, rows).columns
+    kept = [(1, a), (5, b), (2, None), (2, None), (3, ""), (7, "alone here")]
+    assert sorted(map(str, ((r["doc_id"], r["text"]) for r in left.collect()))) == sorted(map(str, kept))
+    twice = [(9, b), (9, b), (9, b), (None, a), (None, a)]
+    left = jaccard_join.drop_near_duplicates(frame(spark, twice), 80, 5).collect()
+    assert sorted(map(str, ((r["doc_id"], r["text"]) for r in left))) == sorted(map(str, [(9, b), (None, a)]))
+    assert jaccard_join.drop_near_duplicates(frame(spark, [])).count() == 0
+
+
 def test_connected_handles_paths_and_stars(spark):
     path = [(i, i + 1) for i in range(200)]
     star = [(1000, 1000 + k) for k in range(1, 200)]
@@ -115,6 +153,18 @@ def test_connected_handles_paths_and_stars(spark):
     assert graph.connected(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_slices_hold_few_items_or_one_row(monkeypatch):
+    monkeypatch.setattr(slices, "SLICE_ITEMS", 10)
+    rng = random.Random(2)
+    rows = [[rng.randrange(99) for _ in range(rng.choice([0, 1, 4, 9, 25]))] for _ in range(60)]
+    batch = pa.RecordBatch.from_pydict({"w": pa.array(rows, pa.list_(pa.int64())), "i": pa.array(range(60))})
+    seen = []
+    for part, values, ends in slices.sliced(iter([batch, batch.slice(0, 0)]), "w"):
+        assert part.num_rows == 1 or len(values) <= 10
+        seen += [values[a:b].tolist() for a, b in zip(ends, ends[1:], strict=False)]
+    assert seen == rows
+
+
 def brute_kept(rows, window):
     words = [(i, WORD.findall(t or "")) for i, t in rows]
     seen = {}
@@ -128,6 +178,7 @@ def brute_kept(rows, window):
 @pytest.mark.parametrize(("window", "anchor", "places"), [(35, 8, 2_000_000), (12, 4, 0), (5, 2, 100)])
 def test_kept_words_against_brute_force(spark, copies, monkeypatch, window, anchor, places):
     monkeypatch.setattr(substring_dedup, "BROADCAST_PLACES", places)
+    assert slices.SLICE_ITEMS == 200_000  # the longest text here has 6,000 words, so several share a slice
     rows = copies + [(None, copies[0][1]), (3, copies[5][1]), (3, copies[5][1]), (None, "a b")]
     got = substring_dedup.kept_words(frame(spark, rows), window=window, anchor=anchor).collect()
     assert sorted((str(r["doc_id"]), r["n_words"], r["kept"]) for r in got) == sorted((str(i), n, k) for i, n, k in brute_kept(rows, window))
