@@ -16,8 +16,6 @@ from quern.llm.queries_scan import CATEGORIES, chain_labels
 
 # Near copies: sets of five-word shingles that are alike by 80 % or more.
 NEAR_SHINGLE, NEAR_PERCENT = 5, 80
-# A list of document numbers up to this size is sent to the documents; beyond, both are shuffled.
-BROADCAST_ROWS = 2_000_000
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,11 +25,8 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest number of each group of near copies; rows without a number stay."""
-    groups = jaccard_join.near_duplicates(docs, NEAR_PERCENT, NEAR_SHINGLE)
-    copies = materialize(groups.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct(), "copies")
-    copies = F.broadcast(copies) if copies.count() <= BROADCAST_ROWS else copies
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    """Keep the document with the smallest number of each group of near copies, and one row of it."""
+    return jaccard_join.drop_near_duplicates(docs, NEAR_PERCENT, NEAR_SHINGLE)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
