@@ -27,7 +27,7 @@ SHINGLE = 3
 PERCENT = 90
 # Sets and shingles of one block (a longer set is one alone); larger clusters are cut into blocks that are joined
 # pair by pair.
-BLOCK_SETS, BLOCK_SHINGLES = 2000, 1_000_000
+BLOCK_SETS, BLOCK_SHINGLES = 2000, 2_000_000
 # A list of (key, cluster) rows up to this size is sent to the texts; beyond, the texts are shuffled to it.
 BROADCAST_ROWS = 250_000
 # Below this similarity parts hold so few shingles that a passage shared by many texts would make most of them
@@ -444,6 +444,49 @@ def _same_row(x: str, y: str) -> Column:
     return F.col(f"{x}.key").eqNullSafe(F.col(f"{y}.key")) & (F.col(f"{x}.mark") == F.col(f"{y}.mark"))
 
 
+def _block_count(sets: str, shingles: str) -> Column:
+    return F.greatest(F.ceil(F.col(sets) / BLOCK_SETS), F.least(F.col(sets), F.ceil(F.col(shingles) / BLOCK_SHINGLES))).cast("int")
+
+
+def _with_levels(members: DataFrame, percent: int) -> DataFrame:
+    """Leave out clusters of one set, and add ``level``: the range of the set's size, or 0 in clusters of one block.
+
+    Similar sets are in the same range or in neighbouring ones, so that only these are joined.
+    """
+    clusters = members.groupBy("root").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles")).where("sets > 1")
+    clusters = materialize(clusters.select("root", (_block_count("sets", "shingles") > 1).alias("cut")), "clusters")
+    starts = F.array(*[F.lit(start).cast("long") for start in SizeClasses(percent).starts])
+    level = F.when(F.col("cut"), F.size(F.filter(starts, lambda start: start <= F.col("n")))).otherwise(0)
+    return members.join(clusters, "root").withColumn("level", level).drop("cut")
+
+
+def _blocks(members: DataFrame) -> DataFrame:
+    """Blocks of each level of each cluster, and those of the levels ``below`` and ``above``; 0 if there are none."""
+    counts = members.groupBy("root", "level").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles"))
+    counts = materialize(counts.select("root", "level", _block_count("sets", "shingles").alias("blocks")), "block_counts")
+    for name, step in (("below", 1), ("above", -1)):
+        beside = counts.select("root", (F.col("level") + step).alias("level"), F.col("blocks").alias(name))
+        counts = counts.join(beside, ["root", "level"], "left").fillna(0, [name])
+    return counts
+
+
+def _tasks_of_a_set() -> Column:
+    """The tasks of a set: its block with itself, with the others of its level, and with those of the levels beside it."""
+
+    def task(x: Column, i: Column, y: Column, j: Column, side: Column) -> Column:
+        names = ("x", "i", "y", "j", "side")
+        return F.struct(*[c.cast("int").alias(n) for n, c in zip(names, (x, i, y, j, side), strict=True)])
+
+    own, level = F.col("own"), F.col("level")
+    first, second, one = F.lit(_FIRST_BLOCK), F.lit(_SECOND_BLOCK), F.lit(_ONE_BLOCK)
+    numbers = lambda count: F.filter(F.sequence(F.lit(0), F.col(count)), lambda k: k < F.col(count))
+    side = lambda k: F.when(k == own, one).when(own < k, first).otherwise(second)
+    within = F.transform(numbers("blocks"), lambda k: task(level, F.least(own, k), level, F.greatest(own, k), side(k)))
+    below = F.transform(numbers("below"), lambda k: task(level - 1, k, level, own, second))
+    above = F.transform(numbers("above"), lambda k: task(level, own, level + 1, k, first))
+    return F.concat(within, below, above)
+
+
 def _resolved(docs: DataFrame, percent: int, shingle: int, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     """One row per text (``key``, ``mark``, set as ``n``, ``a``, ``b``), and one per set: ``group`` (the set that names its
     component), ``low`` (smallest key of the component), ``docs`` (texts with the set) and ``links`` (texts similar to it)."""
@@ -451,7 +494,8 @@ def _resolved(docs: DataFrame, percent: int, shingle: int, key: str, text: str)
     first = _hashed(docs, key, text).mapInArrow(_first_pass(shingle, percent, held), _FIRST)
     # Texts are spread by their key, part keys by themselves.
     spread = F.when(F.col("kind") == 1, F.col("a")).otherwise(F.xxhash64("key", "b"))
-    dealt = first.withColumn("_at", spread).repartition("_at").sortWithinPartitions("kind", "a").drop("_at")
+    # An expression, not a column, so that what it gives is not shuffled with the rows.
+    dealt = first.repartition(spread).sortWithinPartitions("kind", "a")
     passed = materialize(dealt.mapInArrow(_second_pass, _FIRST), "sets")
     texts = passed.where("kind = 0").select("key", "mark", "n", "a", "b")
     edges = passed.where("kind = 2").select("a", "b").distinct()
@@ -462,19 +506,16 @@ def _resolved(docs: DataFrame, percent: int, shingle: int, key: str, text: str)
     classes = materialize(classes, "classes")
     clusters = connected(edges)
     members = classes.join(clusters, F.col("a") == F.col("node")).select("row.key", "row.mark", "a", "n", "docs", "root")
+    members = _with_levels(members, percent)
     members = materialize(members, "members")
-    blocks = members.groupBy("root").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles")).where("sets > 1")
-    needed = F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.least(F.col("sets"), F.ceil(F.col("shingles") / BLOCK_SHINGLES)))
-    members = materialize(members.join(blocks.select("root", needed.cast("int").alias("blocks")), "root"), "blocks")
+    members = materialize(members.join(_blocks(members), ["root", "level"]), "blocks")
 
-    # A cluster of one block is one task; otherwise every pair of blocks is one.
     chosen = F.broadcast(members) if members.count() <= BROADCAST_ROWS else members
-    sets = _hashed(docs, key, text).alias("d").join(chosen.alias("m"), _same_row("d", "m")).select("m.a", "root", "blocks", "docs", "words")
+    sets = _hashed(docs, key, text).alias("d").join(chosen.alias("m"), _same_row("d", "m"))
+    sets = sets.select("m.a", "root", "level", "blocks", "below", "above", "docs", "words")
     sets = sets.withColumn("own", F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int"))
-    sets = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    low, high = F.least("own", "other"), F.greatest("own", "other")
-    side = F.when(low == high, _ONE_BLOCK).when(F.col("own") == low, _FIRST_BLOCK).otherwise(_SECOND_BLOCK)
-    tasks = sets.select(F.concat_ws("-", "root", low, high).alias("task"), side.alias("side"), "a", "docs", "words")
+    sets = sets.withColumn("at", F.explode(_tasks_of_a_set()))
+    tasks = sets.select(F.concat_ws("-", "root", "at.x", "at.i", "at.y", "at.j").alias("task"), "at.side", "a", "docs", "words")
     tasks = tasks.repartition("task").sortWithinPartitions("task", "side", "a")
     found = materialize(tasks.mapInArrow(_join_pass(shingle, percent), _LINKS), "links")
 

@@ -57,10 +57,13 @@ def features_of(words: Column) -> Column:
     return F.concat(words, *[_beginnings(words, n) for n in BEGINNINGS])
 
 
-def _with_features(texts: DataFrame, text: str) -> DataFrame:
-    """Replace the text by ``_features`` and ``_length``, the number of words that rates are taken of."""
+def _with_words(texts: DataFrame, text: str) -> DataFrame:
+    """Replace the text by ``_plain``, its words, and ``_length``, the number of words that rates are taken of."""
     split = texts.withColumn("_plain", plain_words(F.col(text))).drop(text)
-    split = split.withColumn("_length", F.greatest(F.size("_plain"), F.lit(LEAST_WORDS)).cast("double"))
+    return split.withColumn("_length", F.greatest(F.size("_plain"), F.lit(LEAST_WORDS)).cast("double"))
+
+
+def _with_features(split: DataFrame) -> DataFrame:
     return split.withColumn("_features", features_of(F.col("_plain"))).drop("_plain")
 
 
@@ -84,7 +87,7 @@ def labelled_sample(
     texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
     # The bounded side is sent; the texts stay where they are.
     found = texts.join(F.broadcast(known), "_key")
-    return _with_features(found.select("_key", "_text", *categories), "_text")
+    return _with_words(found.select("_key", "_text", *categories), "_text")
 
 
 def _partial_sums(categories: Sequence[str]):
@@ -112,7 +115,7 @@ def _chosen_words(sample: DataFrame, categories: Sequence[str], per_category: in
     """For each category the features whose values tell the labels of a category apart best, by the squared t statistic; ties by word."""
     totals = sample.agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in categories]).first()
     names = ["n", "s", "q", *[f"s_{k}" for k in range(len(categories))]]
-    sums = sample.mapInArrow(_partial_sums(categories), ", ".join(["word string", *[f"{c} double" for c in names]]))
+    sums = _with_features(sample).mapInArrow(_partial_sums(categories), ", ".join(["word string", *[f"{c} double" for c in names]]))
     counts = sums.groupBy("word").agg(*[F.sum(c).alias(c) for c in names])
     counts = materialize(counts.where(F.col("n") >= min_texts), "word_sums")
     chosen: list[list[str]] = []
@@ -184,7 +187,7 @@ def fit_chain(
     # A category that nothing tells apart still gets one feature.
     own = tuple(tuple(place[w] for w in words) or (0,) for words in chosen)
     bag = CountVectorizerModel.from_vocabulary(names, inputCol="_features", outputCol="_bag", minTF=1.0)
-    train = materialize(_with_rates(sample, bag), "bags")
+    train = materialize(_with_rates(_with_features(sample), bag), "bags")
     models, shares, before = [], [], []
     for at, category in enumerate(categories):
         model, share = _fit(train, own[at], before, category)
@@ -210,7 +213,8 @@ def score(docs: DataFrame, chain: Chain, key: str = "doc_id", text: str = "text"
     A null or empty text is scored like one without known words. Repeated rows and null keys stay rows of
     their own; other columns are not read, so their names cannot clash.
     """
-    d = _with_rates(_with_features(docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")), "_text"), chain.words)
+    d = _with_words(docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")), "_text")
+    d = _with_rates(_with_features(d), chain.words)
     before: list[str] = []
     for category, own, model, share in zip(chain.categories, chain.own, chain.models, chain.shares, strict=True):
         d = _scored(d, own, before, model, share, f"p_{category}")
