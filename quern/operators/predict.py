@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -126,6 +128,10 @@ def regression_metrics(df: DataFrame, actual: str, predicted: str, by: Sequence[
     )
 
 
+# Rows that one task of a boosting round looks at, and fits that run side by side.
+ROWS_PER_FIT_TASK, MOST_FITS = 100_000, 8
+
+
 def features(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="error").transform(df)
 
@@ -150,12 +156,20 @@ def boosted_classifier(
     subsample: float = 0.8,
     seed: int = 42,
 ):
-    """One boosted model per class against the others; every tree sees 0.8 of the rows."""
+    """One boosted model per class against the others; every tree sees 0.8 of the rows.
+
+    The models of all classes are fitted side by side. Rows are stored once in as many partitions as their number
+    needs: a fit is thousands of short jobs, whose cost on a small table is that of starting their tasks.
+    """
     trees = GBTClassifier(
         maxDepth=depth, stepSize=step, maxIter=rounds, subsamplingRate=subsample,
         featureSubsetStrategy=str(0.8), seed=seed,
     )
-    return OneVsRest(classifier=trees, featuresCol="features", labelCol=label).fit(features(df, cols))
+    rows = materialize(features(df, cols).select("features", F.col(label).cast("double").alias(label)), "boosting")
+    told = rows.agg(F.count(F.lit(1)).alias("n"), F.max(label).alias("last")).first()
+    rows = rows.coalesce(max(1, -(-told["n"] // ROWS_PER_FIT_TASK)))
+    side_by_side = min(int(told["last"] or 0) + 1, MOST_FITS)
+    return OneVsRest(classifier=trees, featuresCol="features", labelCol=label, parallelism=side_by_side).fit(rows)
 
 
 def class_probabilities(model, df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -208,16 +222,20 @@ def cross_validate(
 ) -> DataFrame:
     """Accuracy of every fold. ``score(model, rows)`` must add a ``prediction`` column.
 
-    The rows with their folds are written once and read by all fits. Each fit is a distributed job of
-    its own, and only the model and one accuracy per fold come back.
+    The rows with their folds are written once and read by all fits, which run side by side as jobs of their
+    own; only the model and one accuracy per fold come back.
     """
     rows = materialize(df, "folds")
-    results = []
-    for f in range(folds):
+    n = rows.count()
+    rows = rows.coalesce(max(1, -(-n // ROWS_PER_FIT_TASK)))
+
+    def accuracy(f: int) -> tuple[int, float | None]:
         model = fit(rows.filter(F.col(fold) != f))
         right = F.avg((F.col("prediction") == F.col(label)).cast("double"))
-        found = score(model, rows.filter(F.col(fold) == f)).agg(right.alias("a")).first()["a"]
-        results.append((f, found))
+        return f, score(model, rows.filter(F.col(fold) == f)).agg(right.alias("a")).first()["a"]
+
+    with ThreadPoolExecutor(MOST_FITS) as pool:
+        results = list(pool.map(inheritable_thread_target(accuracy), range(folds)))
     return df.sparkSession.createDataFrame(results, "fold int, accuracy double")
 
 

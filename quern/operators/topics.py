@@ -19,6 +19,11 @@ from quern.operators.shape import argmax_index, top_n_per_group
 from quern.operators.text import each_token, word_counts
 
 EPSILON = 1e-12
+# Mini-batches of the automatic topics: texts of one, its least share of a large table, least steps of a run, and how
+# slowly early batches are forgotten.
+BATCH_TEXTS, MIN_BATCH_SHARE, LEAST_STEPS, BATCH_OFFSET = 256, 0.01, 40, 10.0
+# Texts per task of such a run.
+TASK_TEXTS = 500
 
 
 def vocabulary(df: DataFrame, tokens: str, key: str) -> DataFrame:
@@ -63,15 +68,16 @@ def lda_fit(
     alpha: float | list[float] | None = None,
     beta: float | None = None,
     sample: float = 1.0,
+    offset: float | None = None,
 ) -> LDAModel:
     """Variational Bayes with a fixed symmetric prior: ``max_iter`` passes over all texts.
 
     ``sample`` below 1 makes each step read only about that share of the texts. Steps over all texts weigh in
-    from the first one on; steps over a share start with a small weight.
+    from the first one on; steps over a share start with a small weight, unless ``offset`` sets it (the less, the more).
     """
     fit = LDA(
         k=k, seed=seed, maxIter=max_iter, optimizer="online", subsamplingRate=sample,
-        learningOffset=1.0 if sample >= 1 else 1024.0,
+        learningOffset=offset if offset is not None else 1.0 if sample >= 1 else 1024.0,
         docConcentration=alpha if isinstance(alpha, list) else [1.0 / k if alpha is None else alpha],
         topicConcentration=1.0 / k if beta is None else beta,
         optimizeDocConcentration=False,
@@ -316,20 +322,20 @@ def topic_top_words(bow: DataFrame, doc_topic: DataFrame, key: str, n: int = 15)
 
 def auto_topics(
     vectors: DataFrame, words: Sequence[str], key: str, t_max: int = 150, min_share: float = 0.01, seed: int = 42,
-    max_iter: int = 160, sample: float = 1.0, settled: float = 0.01,
+    max_iter: int | None = None, sample: float | None = None, passes: int = 5,
 ) -> DataFrame:
     """Number of topics from the data: a sparse prior over many topics, keeping those with a share.
 
-    ``(topic, share, rank, word, weight)`` of the topics that carry at least ``min_share`` of the texts. The passes
-    are doubled from 10 on until the bound per word gets better by less than the share ``settled``, or up to ``max_iter``.
+    ``(topic, share, rank, word, weight)`` of the topics that carry at least ``min_share`` of the texts. One run takes
+    mini-batches of about ``BATCH_TEXTS`` texts, so that topics are set anew many times during one pass over
+    the texts, ``passes`` passes in all; small tables, of which a batch would be the whole, get ``LEAST_STEPS`` steps.
     """
-    passes, last = min(10, max_iter), None
-    while True:
-        model = lda_fit(vectors, t_max, seed, passes, alpha=1.0 / t_max, beta=0.01, sample=sample)
-        bound = log_perplexity(model, vectors)
-        if passes >= max_iter or (last is not None and abs(bound - last) < settled * abs(last)):
-            break
-        passes, last = min(2 * passes, max_iter), bound
+    n = max(vectors.count(), 1)
+    share = min(1.0, max(BATCH_TEXTS / n, MIN_BATCH_SHARE)) if sample is None else sample
+    steps = max(LEAST_STEPS, round(passes / share)) if max_iter is None else max_iter
+    # Every task of a step returns a matrix of topics x words, so a step has no more tasks than its texts need.
+    vectors = vectors.coalesce(max(1, -(-n // TASK_TEXTS)))
+    model = lda_fit(vectors, t_max, seed, steps, alpha=1.0 / t_max, beta=0.01, sample=share, offset=BATCH_OFFSET if share < 1 else 1.0)
     mixtures = doc_topics(model, vectors, key)
     shares = (
         mixtures.select(F.posexplode("mixture").alias("topic", "p"))
