@@ -159,7 +159,8 @@ class PieceEncoder:
 
     The tokenizer's pattern never joins characters across a space that is followed by something other than
     white space, so a text may be cut there and its pieces encoded on their own. Only use it with byte-level
-    tokenizers of that pattern. The cache is bounded; when full, its later half is dropped.
+    tokenizers of that pattern. The cache is bounded; when full, its later half is dropped. As the library does by
+    default, a text is cut at the vocabulary's added tokens first, and each of them becomes its own id.
     """
 
     def __init__(self, path: str):
@@ -167,8 +168,13 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        added = self.tokenizer.get_added_tokens_decoder()
+        if any(t.lstrip or t.rstrip or t.single_word for t in added.values()):
+            raise ValueError("an added token of the vocabulary takes white space or word bounds into account")
+        self.added = {t.content: np.array([i], dtype=f"<u{self.width}").tobytes() for i, t in added.items()}
+        # The longest of several that start at one place is taken.
+        self.cut_at_added = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
         self.opens = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         self.opens[[i for token, i in self.tokenizer.get_vocab().items() if token.startswith(SPACE_SIGN)]] = True
         self.first: dict[str, bytes] = {}
@@ -200,6 +206,16 @@ class PieceEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian bytes of ``width`` per id."""
+        # Between added tokens (odd places) a text is encoded as if it stood alone.
+        stretches = [self.cut_at_added.split(t) if any(a in t for a in self.added) else [t] for t in texts]
+        coded = iter(self._encode_plain([s for own in stretches for s in own[::2]]))
+        return [
+            next(coded) if len(own) == 1 else b"".join(self.added[s] if i % 2 else next(coded) for i, s in enumerate(own))
+            for own in stretches
+        ]
+
+    def _encode_plain(self, texts: list[str]) -> list[bytes]:
+        """``encode`` for texts without added tokens."""
         cut = [t.split(" ") if not _ODD_SPACE.search(t) else _CUT.split(t) for t in texts]
         for name, lead, used in (
             ("first", "", {c[0] for c in cut}),

@@ -107,7 +107,6 @@ def test_token_files_against_the_tokenizer(spark, tmp_path, monkeypatch):
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(BPE)
-    plain.encode_special_tokens = True
     want, start = [], 0
     for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "")):
         ids = plain.encode(t or "", add_special_tokens=False).ids + [0]
@@ -162,6 +161,21 @@ def test_long_parts_are_drawn_like_short_ones(monkeypatch):
     assert all(abs(want[k] - got[k]) < 200 for k in {*want, *got})
 
 
+def test_cumulative_probabilities_do_not_depend_on_other_parts():
+    rng = random.Random(4)
+    parts = sorted({" " + "".join(rng.choice("abcdeinorst") for _ in range(rng.randint(1, 12))) for _ in range(3000)})
+    together = piece_sampling.Sampler(PIECES, 1.0)
+    together._learn(parts)
+    alone = piece_sampling.Sampler(PIECES, 1.0)
+    for part in parts[::7]:
+        alone._forget()
+        alone._learn([part])
+        last = together.ends[part] + 1
+        mine = slice(together.first_arc[last - len(part)], together.first_arc[last])
+        assert alone.cumulative.dtype == np.float64
+        assert together.cumulative[mine].tolist() == alone.cumulative.tolist(), part
+
+
 def test_pieces_decode_to_the_text(spark, monkeypatch):
     monkeypatch.setattr(piece_sampling, "KEPT_PARTS", 200)
     monkeypatch.setattr(piece_sampling, "BATCH_CHARS", 500)
@@ -220,8 +234,8 @@ def test_products_of_parts_cut_where_the_pattern_cuts():
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(BPE)
-    plain.encode_special_tokens = True
     encoder = token_files.PieceEncoder(BPE)
-    texts = ["".join(p) for p in product(["a", " ", "\n", "'s", " ", "1", "!"], repeat=4)]
+    texts = ["".join(p) for p in product(["a", " ", "\n", "'s", " ", "1", "!", "<|endoftext|>"], repeat=4)]
+    assert 50256 in plain.encode("a<|endoftext|>", add_special_tokens=False).ids
     for text, coded in zip(texts, encoder.encode(texts), strict=True):
         assert np.frombuffer(coded, "<u2").tolist() == plain.encode(text, add_special_tokens=False).ids, text
