@@ -200,7 +200,7 @@ class Sampler:
     def _forget(self) -> None:
         self.ends: dict[str, int] = {}
         self.first_arc = np.zeros(1, dtype=np.int32)
-        self.cumulative = np.zeros(0, dtype=np.float32)
+        self.cumulative = np.zeros(0)
         self.codes = np.zeros(0, dtype=np.int32)
         self.before = np.zeros(0, dtype=np.int32)
 
@@ -239,13 +239,16 @@ class Sampler:
             chance[arcs] = np.exp(each - np.repeat(total, size))
         count = np.bincount(last, minlength=len(chars))
         ended = np.cumsum(count)
-        running = np.cumsum(chance)
-        running -= np.repeat(np.concatenate(([0.0], running[ended[:-1] - 1])), count)
+        running = chance
+        # Summed inside each place alone, piece by piece, so that no other part has a share in the rounding.
+        for k in range(1, int(count.max())):
+            at = ended[count > k] - count[count > k] + k
+            running[at] += running[at - 1]
         running[ended - 1] = 1.0
         self.ends.update(zip(parts, (base + stop - 1).tolist(), strict=True))
         return (
             (arcs_before + ended).astype(np.int32),
-            running.astype(np.float32),
+            running,
             codes,
             np.where(opens, -1, base + first - 1).astype(np.int32),
         )
