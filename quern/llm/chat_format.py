@@ -21,12 +21,11 @@ def _replaced(text: Column, *pairs: tuple[str, str]) -> Column:
     return text
 
 
-# From plain to fully escaped. The last level always comes back identical: no raw control string is left.
-_LEVELS = (
-    (),
-    ((ESCAPE, "\\\\"), (END, "<\\/turn>")),
-    ((ESCAPE, "\\\\"), (END, "<\\/turn>"), ("###", "\\###"), (MID, "\\: ")),
-)
+# From plain to fully escaped, for texts and for roles. A header's role ends at its first bare colon, so the last level
+# leaves none in a role.
+_MARKS = ((ESCAPE, "\\\\"), (END, "<\\/turn>"))
+_LEVELS = ((), _MARKS, (*_MARKS, ("###", "\\###"), (MID, "\\: ")))
+_ROLE_LEVELS = ((), _MARKS, (*_MARKS, ("###", "\\###"), (":", "\\:")))
 
 
 def unescape(text: Column) -> Column:
@@ -34,7 +33,7 @@ def unescape(text: Column) -> Column:
 
 
 def _render(role: Column, text: Column, level: int) -> Column:
-    role, text = _replaced(role, *_LEVELS[level]), _replaced(text, *_LEVELS[level])
+    role, text = _replaced(role, *_ROLE_LEVELS[level]), _replaced(text, *_LEVELS[level])
     return F.concat(F.lit(HEAD), role, F.lit(MID), text, F.lit(END))
 
 
@@ -69,7 +68,8 @@ def format_chats(
     Null roles and texts are rendered as empty; null turn numbers come first, ties go by role and text, and
     repeated rows stay turns of their own. A null conversation id is a conversation like others; other
     columns are not read; no rows give no conversations. Escaping and checking are done turn by turn before
-    the turns of a conversation, which is one output row, are put together.
+    the turns of a conversation, which is one output row, are put together. A turn that does not come back
+    identical at the last level either raises instead of being written.
     """
     one = turns.select(
         F.col(conv).alias("_conv"),
@@ -79,8 +79,8 @@ def format_chats(
     )
     levels = range(len(_LEVELS))
     one = one.withColumns({f"_s{k}": _render(F.col("role"), F.col("text"), k) for k in levels})
-    level = F.lit(levels[-1])
-    for k in reversed(levels[:-1]):
+    level = F.raise_error(F.concat(F.lit("a turn does not come back from its escaped form: "), "role")).cast("int")
+    for k in reversed(levels):
         level = F.when(_recovers(F.col(f"_s{k}"), F.col("role"), F.col("text")), F.lit(k)).otherwise(level)
     one = one.withColumn("level", level)
     segment, taken = F.col(f"_s{levels[-1]}"), F.length(_replaced(F.col("text"), *_LEVELS[-1]))

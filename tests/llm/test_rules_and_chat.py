@@ -79,7 +79,7 @@ def chats():
     for c in range(60):
         for turn in range(rng.randint(1, 6)):
             text = "".join(rng.choice(PARTS) for _ in range(rng.randint(0, 8)))
-            role = rng.choice(["user", "assistant", "system", "odd: role", "x\\", "</turn>", "\n### x", None])
+            role = rng.choice(["user", "assistant", "system", "odd: role", "user:x", "a:", ":", "x\\", "</turn>", "\n### x", None])
             rows.append((c if c else None, turn if rng.random() < 0.9 else None, role, rng.choice([text, text, None])))
     rows += [(99, 0, "user", "same"), (99, 0, "user", "same"), (99, 0, "assistant", "long " * 4000)]
     return rows
