@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.common import materialize
-from quern.operators import predict, retrieve, topics
+from quern.operators import predict, retrieve, text, topic_blocks, topics
 from quern.plans.registry import Tables, query
-from quern.plans.topics_and_models import SCALED, _sizes, _tokens, _vectors
+from quern.plans.topics_and_models import SCALED, VOCAB, _block_topics, _sizes, _tokens, _vectors
 
 
 @query(
@@ -60,19 +60,28 @@ def _nearest_approx_bounds(t: Tables):
 
 @query("doc_topics_bounds", "SELECT doc_id, 4 AS n_topics, true AS sums_to_one FROM documents")
 def _doc_topics_bounds(t: Tables):
-    _, vectors, _ = _vectors(t)
-    mixtures = topics.doc_topics(topics.lda_fit(vectors), vectors, "doc_id")
+    mixtures = topic_blocks.block_mixtures(_block_topics(t), "doc_id")
     total = F.aggregate("mixture", F.lit(0.0), lambda s, x: s + x)
     # A text without words has no mixture.
     fine = (F.abs(total - 1) < 1e-6) | (total == 0)
     return mixtures.select("doc_id", F.size("mixture").alias("n_topics"), fine.alias("sums_to_one"))
 
 
+@query(
+    "topic_fit_bounds",
+    f"{VOCAB} SELECT count(DISTINCT word) AS n_words, count(*) AS n_tokens, true AS foretells_better FROM w",
+)
+def _topic_fit_bounds(t: Tables):
+    """Four topics foretell words of texts they were not fitted on better than one, by 0.1 nats a word at least."""
+    one, four = (_block_topics(t, k, held_out=0.2, passes=p) for k, p in ((1, 2), (4, 10)))
+    total = text.word_counts(_tokens(t), F.col("tokens")).agg(F.count(F.lit(1)).alias("n_words"), F.sum("n").alias("n_tokens"))
+    return total.withColumn("foretells_better", F.lit(four.bounds[-1] > one.bounds[-1] + 0.1))
+
+
 @query("topic_terms_bounds", "SELECT i::INTEGER AS topic, 10::BIGINT AS n, true AS falling FROM range(4) r(i)")
 def _topic_terms_bounds(t: Tables):
     """Ten words per topic in falling order of weight; each is a word of the texts."""
-    _, vectors, words = _vectors(t)
-    terms = topics.topic_terms(topics.lda_fit(vectors), words, 10)
+    terms = topic_blocks.block_terms(_block_topics(t), 10)
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("rank", "weight"))), lambda s: s["weight"])
     return terms.where("word IS NOT NULL").groupBy("topic").agg(
         F.count_distinct("word").alias("n"), (F.reverse(F.sort_array(ordered)) == ordered).alias("falling")

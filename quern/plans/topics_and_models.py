@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quern.common import materialize
 from quern.functions.scalars import date_ordinal, scored_confidence
-from quern.operators import predict, shape, text, topics
+from quern.operators import predict, shape, text, topic_blocks, topics
 from quern.plans.registry import Tables, query, sql_list
 from quern.plans.scalars_and_text import TOKENS
 
@@ -136,17 +136,18 @@ def _vectors(t: Tables):
     return rows, materialize(vectors, "vectors"), model.vocabulary
 
 
+def _block_topics(t: Tables, k: int = 4, **settings) -> topic_blocks.BlockTopics:
+    return topic_blocks.fit_blocks(_tokens(t), "tokens", "doc_id", k, **settings)
+
+
 @query("topic_terms")
 def _topic_terms(t: Tables):
-    _, vectors, words = _vectors(t)
-    return topics.topic_terms(topics.lda_fit(vectors), words, 10)
+    return topic_blocks.block_terms(_block_topics(t), 10)
 
 
 @query("doc_topics")
 def _doc_topics(t: Tables):
-    _, vectors, _ = _vectors(t)
-    mixtures = topics.doc_topics(topics.lda_fit(vectors), vectors, "doc_id")
-    return topics.dominant_topic(mixtures)
+    return topics.dominant_topic(topic_blocks.block_mixtures(_block_topics(t), "doc_id"))
 
 
 @query("log_perplexity")
@@ -180,8 +181,7 @@ def _dominant_topic(t: Tables):
 
 @query("auto_topics")
 def _auto_topics(t: Tables):
-    _, vectors, words = _vectors(t)
-    return topics.auto_topics(vectors, words, "doc_id")
+    return topic_blocks.found_topics(_tokens(t), "tokens", "doc_id")
 
 
 # ---- encoding, scaling and regression
