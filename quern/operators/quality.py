@@ -138,7 +138,9 @@ def data_dictionary(tables: Mapping[str, DataFrame]) -> DataFrame:
             for x in (
                 F.count(F.col(f"`{f.name}`")).alias(f"_c{i}"),
                 *(
-                    fn(F.col(f"`{f.name}`")).cast("string").alias(f"_{m}{i}") if _ordered(f) else F.lit(None).cast("string").alias(f"_{m}{i}")
+                    _unsigned_zero(fn(F.col(f"`{f.name}`")), f).cast("string").alias(f"_{m}{i}")
+                    if _ordered(f)
+                    else F.lit(None).cast("string").alias(f"_{m}{i}")
                     for m, fn in (("l", F.min), ("h", F.max))
                 ),
             )
@@ -156,6 +158,12 @@ def data_dictionary(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def _unsigned_zero(value: Column, f) -> Column:
+    """-0.0 and 0.0 are equal, so either may be the smallest: both read 0.0."""
+    kind = f.dataType.simpleString()
+    return F.when(value == 0, F.lit(0.0).cast(kind)).otherwise(value) if kind in ("float", "double") else value
+
+
 def _ordered(f) -> bool:
     return not f.dataType.simpleString().startswith(("array", "map", "struct", "binary", "variant"))
 
@@ -170,3 +178,50 @@ def relationships(tables: Mapping[str, DataFrame], pairs: Sequence[tuple[str, st
         for c, col, p, key in pairs
     ]
     return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def find_relationships(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """``(child, child_column, parent, parent_column, n_values, parent_is_key)``: columns whose values all occur in another.
+
+    Integer columns are compared with integer columns and text with text; nulls are no values, and a column without
+    values is no child. ``parent_is_key`` says that the other column holds a different value in every row. All
+    columns of all tables go through one shuffle: for each value the set of columns that hold it, combined in the
+    tasks, then the number of values for each set of columns, from which the pairs are added up.
+    """
+    parts, columns = [], []
+    for table, df in tables.items():
+        cells = []
+        for f in df.schema.fields:
+            kind = "int" if f.dataType.simpleString() in ("tinyint", "smallint", "int", "bigint") else f.dataType.simpleString()
+            if kind not in ("int", "string"):
+                continue
+            value = F.col(f"`{f.name}`").cast("string")
+            # Long texts travel as digests, which no short one equals.
+            short = value if kind == "int" else F.when(F.length(value) < 64, value).otherwise(F.sha2(value, 256))
+            cells.append(F.struct(F.lit(kind).alias("kind"), short.alias("value"), F.lit(len(columns)).alias("code")))
+            columns.append((len(columns), table, f.name))
+        if cells:
+            parts.append(df.select(F.explode(F.array(*cells)).alias("_c")).select("_c.*").filter("value is not null"))
+    spark = next(iter(tables.values())).sparkSession
+    if not parts:
+        schema = "child string, child_column string, parent string, parent_column string, n_values bigint, parent_is_key boolean"
+        return spark.createDataFrame([], schema)
+    values = reduce(lambda a, b: a.unionByName(b), parts).groupBy("kind", "value").agg(F.sort_array(F.collect_set("code")).alias("codes"))
+    sets = materialize(values.groupBy("codes").agg(F.count(F.lit(1)).alias("n")), "sets")
+    sizes = sets.select(F.explode("codes").alias("code"), "n").groupBy("code").agg(F.sum("n").alias("size"))
+    pairs = sets.select(F.explode("codes").alias("a"), "codes", "n").select("a", F.explode("codes").alias("b"), "n").filter("a <> b")
+    both = pairs.groupBy("a", "b").agg(F.sum("n").alias("n"))
+    counts = [df.select(F.lit(t).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n_rows")) for t, df in tables.items()]
+    # One row for each column, however large the tables are.
+    names = spark.createDataFrame(columns, "code int, t string, c string").join(sizes, "code").join(
+        reduce(lambda a, b: a.unionByName(b), counts), "t"
+    )
+    names = materialize(names, "columns")
+    child = names.select(F.col("code").alias("a"), F.col("t").alias("child"), F.col("c").alias("child_column"), "size")
+    parent = names.select(
+        F.col("code").alias("b"), F.col("t").alias("parent"), F.col("c").alias("parent_column"),
+        (F.col("size") == F.col("n_rows")).alias("parent_is_key"),
+    )
+    return both.join(child, "a").filter("n = size").join(parent, "b").select(
+        "child", "child_column", "parent", "parent_column", F.col("n").alias("n_values"), "parent_is_key"
+    )

@@ -132,8 +132,14 @@ def _pipeline_health(t: Tables):
 
 
 def _column_sql(table: str, columns: list[tuple[str, str]]) -> str:
+    def end(fn: str, c: str, kind: str) -> str:
+        if kind.startswith("array"):
+            return "NULL::VARCHAR"
+        return f"({fn}({c}) + 0.0::DOUBLE)::VARCHAR" if kind == "double" else f"{fn}({c})::VARCHAR"
+
     return " UNION ALL ".join(
-        f"SELECT '{table}' AS table_name, {i} AS position, '{c}' AS column_name, '{kind}' AS type, count({c}) AS non_null, min({c})::VARCHAR AS low, max({c})::VARCHAR AS high, count(*) AS n_rows FROM {table}"
+        f"""SELECT '{table}' AS table_name, {i} AS position, '{c}' AS column_name, '{kind}' AS type, count({c}) AS non_null,
+            {end('min', c, kind)} AS low, {end('max', c, kind)} AS high, count(*) AS n_rows FROM {table}"""
         for i, (c, kind) in enumerate(columns)
     )
 
@@ -158,3 +164,57 @@ def _data_dictionary(t: Tables):
 def _relationships(t: Tables):
     pairs = [("orders", "o_custkey", "customer", "c_custkey"), ("customer", "c_custkey", "orders", "o_custkey")]
     return quality.relationships({"orders": t.orders, "customer": t.customer}, pairs)
+
+
+# Columns of all given tables, by kind.
+COLUMNS = {
+    "benchmark": {"item_id": "bigint", "text": "string"},
+    "conversations": {"conv_id": "bigint", "turn": "bigint", "role": "string", "text": "string"},
+    "customer": {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int", "c_acctbal": "double", "c_mktsegment": "string"},
+    "documents": {"doc_id": "bigint", "text": "string", "lang": "string", "source": "string", "n_chars": "bigint"},
+    "embeddings": {"vec_id": "bigint", "embedding": "array<float>", "label": "int"},
+    "events": {"event_id": "bigint", "ts": "timestamp_ntz", "user_id": "bigint", "event_type": "string", "value": "double", "props": "string"},
+    "labels": {"doc_id": "bigint", "quality": "int", "toxic": "int"},
+    "lineitem": {
+        "l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int", "l_quantity": "double",
+        "l_extendedprice": "double", "l_discount": "double", "l_tax": "double", "l_returnflag": "string", "l_linestatus": "string",
+        "l_shipdate": "timestamp_ntz",
+    },
+    "nation": {"n_nationkey": "int", "n_name": "string", "n_regionkey": "int"},
+    "orders": {
+        "o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double", "o_orderdate": "timestamp_ntz",
+        "o_orderpriority": "string",
+    },
+    "pages": {"page_id": "bigint", "url": "string", "html": "string"},
+    "part": {"p_partkey": "bigint", "p_name": "string", "p_brand": "string", "p_type": "string", "p_size": "int", "p_retailprice": "double"},
+    "region": {"r_regionkey": "int", "r_name": "string"},
+    "supplier": {"s_suppkey": "bigint", "s_name": "string", "s_nationkey": "int", "s_acctbal": "double"},
+}
+
+
+def _values_sql() -> str:
+    kinds = {"int": "int", "bigint": "int", "string": "string"}
+    return " UNION ALL ".join(
+        f"SELECT '{t}' AS t, '{c}' AS c, '{kinds[k]}' AS kind, {c}::VARCHAR AS v FROM {t}"
+        for t, cols in COLUMNS.items() for c, k in cols.items() if k in kinds
+    )
+
+
+@query(
+    "find_relationships",
+    f"""WITH v AS (SELECT DISTINCT t, c, kind, v FROM ({_values_sql()}) WHERE v IS NOT NULL),
+         s AS (SELECT t, c, count(*) AS n FROM v GROUP BY t, c),
+         r AS ({" UNION ALL ".join(f"SELECT '{t}' AS t, count(*) AS n_rows FROM {t}" for t in COLUMNS)}),
+         p AS (SELECT a.t AS child, a.c AS child_column, b.t AS parent, b.c AS parent_column, count(*) AS n
+               FROM v a JOIN v b ON a.kind = b.kind AND a.v = b.v AND (a.t, a.c) <> (b.t, b.c) GROUP BY a.t, a.c, b.t, b.c)
+       SELECT child, child_column, parent, parent_column, p.n AS n_values, o.n = n_rows AS parent_is_key
+       FROM p JOIN s ON s.t = child AND s.c = child_column AND s.n = p.n
+       JOIN s o ON o.t = parent AND o.c = parent_column JOIN r ON r.t = parent""",
+)
+def _find_relationships(t: Tables):
+    return quality.find_relationships({name: getattr(t, name) for name in COLUMNS})
+
+
+@query("data_dictionary_all", " UNION ALL ".join(_column_sql(t, list(cols.items())) for t, cols in COLUMNS.items()))
+def _data_dictionary_all(t: Tables):
+    return quality.data_dictionary({name: getattr(t, name) for name in COLUMNS})
