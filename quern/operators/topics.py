@@ -6,6 +6,8 @@ from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
@@ -24,6 +26,8 @@ EPSILON = 1e-12
 BATCH_TEXTS, MIN_BATCH_SHARE, LEAST_STEPS, BATCH_OFFSET = 256, 0.01, 40, 10.0
 # Texts per task of such a run.
 TASK_TEXTS = 500
+# Texts whose words are counted at once.
+COUNTED_TEXTS = 1000
 
 
 def vocabulary(df: DataFrame, tokens: str, key: str) -> DataFrame:
@@ -33,13 +37,40 @@ def vocabulary(df: DataFrame, tokens: str, key: str) -> DataFrame:
     return with_row_number(counts, [F.desc("df"), "word"], "word_id")
 
 
+def _counted(df: DataFrame, tokens: str, key: str) -> DataFrame:
+    """``(key, word, n)`` of each row by itself; a task holds the pairs of ``COUNTED_TEXTS`` texts."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, COUNTED_TEXTS):
+                keys, texts = batch.slice(start, COUNTED_TEXTS).columns
+                row = np.repeat(np.arange(len(texts)), pc.list_value_length(texts).fill_null(0).to_numpy())
+                words = texts.flatten().dictionary_encode()
+                code = words.indices.fill_null(-1).to_numpy().astype(np.int64)
+                width = max(len(words.dictionary), 1)
+                pairs, n = np.unique((row * width + code)[code >= 0], return_counts=True)
+                at, code = np.divmod(pairs, width)
+                found = [keys.take(pa.array(at)), words.dictionary.take(pa.array(code)), pa.array(n)]
+                yield pa.RecordBatch.from_arrays(found, [key, "word", "n"])
+
+    kind = df.schema[key].dataType.simpleString()
+    return df.select(key, tokens).mapInArrow(count, f"{key} {kind}, word string, n bigint")
+
+
 def bag_of_words(df: DataFrame, tokens: str, key: str, vocab: DataFrame | None = None) -> DataFrame:
     """``(key, word_id, n)``, or ``(key, word, n)`` without a vocabulary.
 
-    Counts are combined inside each task, where all words of a text meet, so only distinct words
-    of a text are shuffled.
+    All words of a text meet in its row and are counted there, so that no words are shuffled; only the texts of a
+    key with several rows have their counts added up.
     """
-    counts = each_token(df, tokens, [key]).groupBy(key, "word").agg(F.count(F.lit(1)).alias("n"))
+    several = df.groupBy(F.col(key).alias("_key")).count().filter("count > 1").select("_key")
+    several = materialize(several, "keys")
+    if several.isEmpty():
+        counts = _counted(df, tokens, key)
+    else:
+        again = F.col(key).eqNullSafe(F.col("_key"))
+        added = _counted(df.join(several, again, "left_semi"), tokens, key).groupBy(key, "word").agg(F.sum("n").alias("n"))
+        counts = _counted(df.join(several, again, "left_anti"), tokens, key).unionByName(added)
     if vocab is None:
         return counts
     return counts.join(vocab.select("word", "word_id"), "word").select(key, "word_id", "n")

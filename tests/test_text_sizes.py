@@ -50,3 +50,20 @@ def test_terms_of_a_model_send_out_no_vocabulary(spark, monkeypatch):
         assert [r for r, _, _ in found] == [1, 2, 3, 4, 5]
         assert [w for _, w, _ in found] == pytest.approx(sorted(matrix[:, topic])[::-1][:5])
         assert all(matrix[model.vocabulary.index(word), topic] == pytest.approx(w) for _, w, word in found)
+
+
+@pytest.mark.parametrize("at_once", [1000, 2])
+def test_bags_shuffle_no_words_of_single_keys(spark, monkeypatch, at_once):
+    monkeypatch.setattr(topics, "COUNTED_TEXTS", at_once)
+    rows = [(1, ["b", "a", "b", None]), (2, []), (3, None), (4, ["", "a"]), (5, ["b"]), (6, ["c", "c", "c"])]
+    bags = topics.bag_of_words(spark.createDataFrame(rows, SCHEMA).coalesce(1), "tokens", "doc_id")
+    assert "Exchange" not in plan(bags)
+    rows += [(4, ["a", "d"]), (None, ["a"]), (None, ["a", "b"])]
+    df = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    want = Counter((k, w) for k, ws in rows for w in ws or [] if w is not None)
+    bags = topics.bag_of_words(df, "tokens", "doc_id")
+    assert {(r["doc_id"], r["word"]): r["n"] for r in bags.collect()} == want and bags.count() == len(want)
+    vocab = topics.vocabulary(df, "tokens", "doc_id")
+    ids = {r["word"]: r["word_id"] for r in vocab.collect()}
+    got = topics.bag_of_words(df, "tokens", "doc_id", vocab).collect()
+    assert {(r["doc_id"], r["word_id"]): r["n"] for r in got} == {(k, ids[w]): n for (k, w), n in want.items()}
