@@ -343,22 +343,29 @@ def lsi_fit(df: DataFrame, tokens: str, key: str, k: int = 20, max_features: int
     stored = materialize(vectors.select(key, tokens, "features"), "vectors")
     old = MLUtils.convertVectorColumnsFromML(stored.select("features"), "features")
     words = model.vocabulary
-    svd = RowMatrix(old).computeSVD(min(k, len(words)), computeU=False)
+    matrix = RowMatrix(old)
+    # Each of the hundred or so steps of the decomposition reads all rows; those that fit stay in memory as vectors.
+    rows = matrix._java_matrix_wrapper._java_model.rows().cache()
+    svd = matrix.computeSVD(min(k, len(words)), computeU=False)
+    rows.unpersist(False)
     terms = svd.V.toArray()
     largest = np.abs(terms).argmax(axis=0)
     terms = terms * np.where(terms[largest, np.arange(terms.shape[1])] < 0, -1.0, 1.0)
-    held = df.sparkSession.sparkContext.broadcast((terms, {w: i for i, w in enumerate(words)}))
+    held = df.sparkSession.sparkContext.broadcast((terms, words))
 
-    def project(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        matrix, place = held.value
+    def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Tokens stay in Arrow: as Python strings, those of one batch alone take hundreds of MB."""
+        matrix, names = held.value
         for batch in batches:
-            mixtures = [
-                matrix[[place[w] for w in (() if text is None else text) if w in place]].sum(0).tolist() for text in batch[tokens]
-            ]
-            yield pd.DataFrame({key: batch[key], "mixture": mixtures})
+            flat = batch.column(1).flatten()
+            places = pc.index_in(flat, value_set=pa.array(names, flat.type)).fill_null(-1).to_numpy()
+            ends = np.cumsum(pc.list_value_length(batch.column(1)).fill_null(0).to_numpy())
+            sums = [matrix[x[x >= 0]].sum(0) for x in np.split(places, ends[:-1])]
+            mixtures = pa.array(sums, pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), mixtures], [key, "mixture"])
 
     kind = df.schema[key].dataType.simpleString()
-    docs = stored.select(key, tokens).mapInPandas(project, f"{key} {kind}, mixture array<double>")
+    docs = stored.select(key, tokens).mapInArrow(project, f"{key} {kind}, mixture array<double>")
     return docs, list(svd.s), terms, words
 
 

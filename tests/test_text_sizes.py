@@ -67,3 +67,25 @@ def test_bags_shuffle_no_words_of_single_keys(spark, monkeypatch, at_once):
     ids = {r["word"]: r["word_id"] for r in vocab.collect()}
     got = topics.bag_of_words(df, "tokens", "doc_id", vocab).collect()
     assert {(r["doc_id"], r["word_id"]): r["n"] for r in got} == {(k, ids[w]): n for (k, w), n in want.items()}
+
+
+def test_projection_reads_vectors_from_memory_and_tokens_in_arrow(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(i, [f"w{k}" for k in rng.zipf(1.5, 12) % 30]) for i in range(60)] + [(60, None), (61, []), (62, ["rare", None, "w1"])]
+    held, compute = [], RowMatrix.computeSVD
+
+    def seen(self, *args, **kwargs):
+        held.append(spark.sparkContext._jsc.getPersistentRDDs().size())
+        return compute(self, *args, **kwargs)
+
+    monkeypatch.setattr(RowMatrix, "computeSVD", seen)
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    docs, _, terms, words = topics.lsi_fit(spark.createDataFrame(rows, SCHEMA), "tokens", "doc_id", 3, 20)
+    assert held == [before + 1] and "MapInPandas" not in plan(docs)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+    got = {r["doc_id"]: r["mixture"] for r in docs.collect()}
+    place = {w: i for i, w in enumerate(words)}
+    assert "rare" not in place and sorted(got) == list(range(63))
+    for i, ws in rows:
+        want = sum((terms[place[w]] for w in ws or [] if w in place), np.zeros(3))
+        assert got[i] == pytest.approx(list(want))
