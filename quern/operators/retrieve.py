@@ -7,16 +7,20 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from quern.common import broadcast_if_small, fits
 
 # Queries up to this count are held by every task; more are matched block by block.
 QUERY_LIMIT = 4096
 BLOCK_ROWS = 8192
+# Texts cut into chunks at once.
+CHUNKED_TEXTS = 200
 
 
 def chunk_fixed(df: DataFrame, text: str, size: int = 300) -> DataFrame:
@@ -74,14 +78,24 @@ def split_text(text: str, size: int, overlap: int, marks: Sequence[str] = ("\n\n
 
 
 def chunk_overlap(df: DataFrame, text: str, size: int = 500, overlap: int = 50) -> DataFrame:
-    """Chunks of at most ``size`` characters cut at paragraph, line or word ends, with overlap."""
-
-    @F.pandas_udf("array<string>")
-    def chunks(col: pd.Series) -> pd.Series:
-        return col.map(lambda t: [] if t is None else split_text(t, size, overlap))
+    """Chunks of at most ``size`` characters cut at paragraph, line or word ends, with overlap.
 
+    Chunks leave a task ``CHUNKED_TEXTS`` texts at a time, so that it never holds those of a whole batch.
+    """
     kept = [c for c in df.columns if c != text]
-    return df.select(*kept, F.posexplode(chunks(text)).alias("chunk_no", "chunk"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, CHUNKED_TEXTS):
+                part = batch.slice(start, CHUNKED_TEXTS)
+                chunks = [[] if t is None else split_text(t, size, overlap) for t in part.column(len(kept)).to_pylist()]
+                rows = pa.array(np.repeat(np.arange(len(chunks)), [len(c) for c in chunks]))
+                numbers = pa.array([i for c in chunks for i in range(len(c))], pa.int32())
+                found = [*(part.column(i).take(rows) for i in range(len(kept))), numbers, pa.array([x for c in chunks for x in c], pa.string())]
+                yield pa.RecordBatch.from_arrays(found, [*kept, "chunk_no", "chunk"])
+
+    schema = StructType([*df.select(*kept).schema.fields, StructField("chunk_no", IntegerType()), StructField("chunk", StringType())])
+    return df.select(*kept, text).mapInArrow(cut, schema)
 
 
 def store_vectors(df: DataFrame, path: str) -> DataFrame:

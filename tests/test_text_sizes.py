@@ -69,6 +69,17 @@ def test_bags_shuffle_no_words_of_single_keys(spark, monkeypatch, at_once):
     assert {(r["doc_id"], r["word_id"]): r["n"] for r in got} == {(k, ids[w]): n for (k, w), n in want.items()}
 
 
+def test_chunks_leave_a_task_a_few_texts_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(retrieve, "CHUNKED_TEXTS", 3)
+    rows = [(i, "x", None if i % 5 == 0 else " ".join(f"word{j}" for j in range(i * 9))) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string").coalesce(1)
+    got = retrieve.chunk_overlap(df, "text", 60, 10)
+    assert "Generate" not in plan(got)
+    assert got.dtypes == [("doc_id", "bigint"), ("lang", "string"), ("chunk_no", "int"), ("chunk", "string")]
+    want = [(i, "x", n, c) for i, _, t in rows if t for n, c in enumerate(retrieve.split_text(t, 60, 10))]
+    assert [tuple(r) for r in got.orderBy("doc_id", "chunk_no").collect()] == want
+
+
 def test_projection_reads_vectors_from_memory_and_tokens_in_arrow(spark, monkeypatch):
     rng = np.random.default_rng(5)
     rows = [(i, [f"w{k}" for k in rng.zipf(1.5, 12) % 30]) for i in range(60)] + [(60, None), (61, []), (62, ["rare", None, "w1"])]
