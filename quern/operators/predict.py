@@ -6,8 +6,9 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, Window
@@ -130,20 +131,80 @@ def regression_metrics(df: DataFrame, actual: str, predicted: str, by: Sequence[
 
 # Rows that one task of a boosting round looks at, and fits that run side by side.
 ROWS_PER_FIT_TASK, MOST_FITS = 100_000, 8
+# Bins of a number in boosted trees, and rows that stand for those of equal bins and label when trees draw rows.
+BINS, CELL_PARTS = 32, 16
 
 
 def features(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="error").transform(df)
 
 
+def _thresholds(df: DataFrame, cols: Sequence[str]) -> list[list[float]]:
+    """Bounds of at most ``BINS`` bins per column: one for each value if there are so few, else of equal frequency."""
+    about = df.agg(*[F.approx_count_distinct(c, 0.01) for c in cols]).first()
+    many = [c for c, n in zip(cols, about) if n > 2 * BINS]
+    bounds: dict[str, list[float]] = {}
+    for c in [c for c in cols if c not in many]:
+        values = sorted(r[0] for r in df.select(c).distinct().collect())
+        if len(values) > BINS:
+            many.append(c)
+        else:
+            bounds[c] = [(x + y) / 2 for x, y in zip(values, values[1:])]
+    if many:
+        ranks = [i / BINS for i in range(1, BINS)]
+        bounds.update(zip(many, df.approxQuantile(many, ranks, 1 / (32 * BINS))))
+    return [[float("-inf"), *sorted({x for x in bounds[c] if abs(x) < float("inf")}), float("inf")] for c in cols]
+
+
+HELPERS = ("value", "bin", "at")
+
+
+def _helpers(kind: str, cols: Sequence[str]) -> list[str]:
+    return [f"_{kind}_{i}" for i in range(len(cols))]
+
+
+def _binned(df: DataFrame, cols: Sequence[str]) -> tuple[list, DataFrame]:
+    """Stages that add the bins of ``cols`` as the vector ``_bins``, and the rows of ``df`` with ``_at_<i>``, the bins."""
+    values, bins, places = (_helpers(kind, cols) for kind in HELPERS)
+    casts = ", ".join(f"CAST(`{c}` AS DOUBLE) AS {v}" for c, v in zip(cols, values))
+    cast = SQLTransformer(statement=f"SELECT *, {casts} FROM __THIS__")
+    # The assembler stops at a missing number.
+    rows = cast.transform(features(df, cols).filter("features IS NOT NULL"))
+    cut = Bucketizer(splitsArray=_thresholds(rows, values), inputCols=values, outputCols=bins)
+    # A sum is a plain number; what leaves the bucketizer is marked as a category, whose order trees would not heed.
+    plain = SQLTransformer(statement=f"SELECT *, {', '.join(f'{b} + 0D AS {p}' for b, p in zip(bins, places))} FROM __THIS__")
+    return [cast, cut, plain, VectorAssembler(inputCols=places, outputCol="_bins")], plain.transform(cut.transform(rows))
+
+
+def _without_helpers(stages: list, model, cols: Sequence[str]) -> PipelineModel:
+    """The fitted model behind its bins; it takes rows with ``cols`` and adds what the model adds."""
+    helpers = ", ".join(["_bins", *[name for kind in HELPERS for name in _helpers(kind, cols)]])
+    return PipelineModel([*stages, model, SQLTransformer(statement=f"SELECT * EXCEPT ({helpers}) FROM __THIS__")])
+
+
+def _stored_cells(stages: list, cells: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Cells in a fixed order, so that a fit can be repeated, in as many partitions as their number needs."""
+    cells = materialize(stages[-1].transform(cells).orderBy(*order), "boosting")
+    return cells.coalesce(max(1, -(-cells.count() // ROWS_PER_FIT_TASK)))
+
+
 def boosted_regression(
     df: DataFrame, cols: Sequence[str], y: str, depth: int = 6, step: float = 0.3, rounds: int = 100, seed: int = 42
 ):
-    """Gradient-boosted trees on numeric columns."""
+    """Gradient-boosted trees on numeric columns.
+
+    Trees see a number by its bin alone. Rows of equal bins are therefore counted once, before the rounds, and stand as one
+    row with their mean and number: squared errors inside such a cell are the same for every tree.
+    """
+    stages, rows = _binned(df, cols)
+    bins = _helpers("at", cols)
+    # A missing target becomes NaN, at which the fit stops.
+    target = F.coalesce(F.col(y).cast("double"), F.lit(float("nan")))
+    cells = _stored_cells(stages, rows.groupBy(*bins).agg(F.avg(target).alias(y), F.count(F.lit(1)).cast("double").alias("_weight")), bins)
     trees = GBTRegressor(
-        featuresCol="features", labelCol=y, maxDepth=depth, stepSize=step, maxIter=rounds, seed=seed
+        featuresCol="_bins", labelCol=y, weightCol="_weight", maxDepth=depth, stepSize=step, maxIter=rounds, maxBins=BINS, seed=seed
     )
-    return trees.fit(features(df, cols))
+    return _without_helpers(stages, trees.fit(cells), cols)
 
 
 def boosted_classifier(
@@ -158,18 +219,27 @@ def boosted_classifier(
 ):
     """One boosted model per class against the others; every tree sees 0.8 of the rows.
 
-    The models of all classes are fitted side by side. Rows are stored once in as many partitions as their number
-    needs: a fit is thousands of short jobs, whose cost on a small table is that of starting their tasks.
+    Trees see a number by its bin alone. Rows of equal bins and label are therefore counted once, before the rounds, and
+    stand as up to ``CELL_PARTS`` rows that share their number; each tree draws from those. A cell of no more rows than
+    that is drawn row by row. The models of all classes are fitted side by side: a fit is thousands of short jobs, whose
+    cost on a small table is that of starting their tasks.
     """
+    stages, rows = _binned(df, cols)
+    bins = _helpers("at", cols)
+    cells = rows.groupBy(*bins, F.col(label).cast("double").alias(label)).agg(F.count(F.lit(1)).alias("_n"))
+    parts = F.least("_n", F.lit(CELL_PARTS))
+    cells = cells.select("*", parts.alias("_parts"), F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)).alias("_part"))
+    share = F.floor(F.col("_n") / F.col("_parts")) + (F.col("_part") < F.col("_n") % F.col("_parts")).cast("int")
+    cells = cells.select(*bins, label, "_part", share.cast("double").alias("_weight"))
+    cells = _stored_cells(stages, cells, [*bins, label, "_part"])
+    last = cells.agg(F.max(label)).first()[0]
     trees = GBTClassifier(
-        maxDepth=depth, stepSize=step, maxIter=rounds, subsamplingRate=subsample,
+        maxDepth=depth, stepSize=step, maxIter=rounds, maxBins=BINS, subsamplingRate=subsample,
         featureSubsetStrategy=str(0.8), seed=seed,
     )
-    rows = materialize(features(df, cols).select("features", F.col(label).cast("double").alias(label)), "boosting")
-    told = rows.agg(F.count(F.lit(1)).alias("n"), F.max(label).alias("last")).first()
-    rows = rows.coalesce(max(1, -(-told["n"] // ROWS_PER_FIT_TASK)))
-    side_by_side = min(int(told["last"] or 0) + 1, MOST_FITS)
-    return OneVsRest(classifier=trees, featuresCol="features", labelCol=label, parallelism=side_by_side).fit(rows)
+    side_by_side = min(int(last or 0) + 1, MOST_FITS)
+    each = OneVsRest(classifier=trees, featuresCol="_bins", labelCol=label, weightCol="_weight", parallelism=side_by_side)
+    return _without_helpers(stages, each.fit(cells), cols)
 
 
 def class_probabilities(model, df: DataFrame, cols: Sequence[str]) -> DataFrame:
