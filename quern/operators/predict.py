@@ -131,8 +131,9 @@ def regression_metrics(df: DataFrame, actual: str, predicted: str, by: Sequence[
 
 # Rows that one task of a boosting round looks at, and fits that run side by side.
 ROWS_PER_FIT_TASK, MOST_FITS = 100_000, 8
-# Bins of a number in boosted trees, and rows that stand for those of equal bins and label when trees draw rows.
-BINS, CELL_PARTS = 32, 16
+# Bins of a number in boosted trees, values of a column up to which each is told apart before the trees choose those bins,
+# and rows that stand for those of equal bins and label when trees draw rows.
+BINS, KNOWN_VALUES, CELL_PARTS = 32, 64, 16
 
 
 def features(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -140,13 +141,13 @@ def features(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def _thresholds(df: DataFrame, cols: Sequence[str]) -> list[list[float]]:
-    """Bounds of at most ``BINS`` bins per column: one for each value if there are so few, else of equal frequency."""
+    """Bounds per column: one bin for each of up to ``KNOWN_VALUES`` values, else ``BINS`` of equal frequency."""
     about = df.agg(*[F.approx_count_distinct(c, 0.01) for c in cols]).first()
-    many = [c for c, n in zip(cols, about) if n > 2 * BINS]
+    many = [c for c, n in zip(cols, about) if n > 2 * KNOWN_VALUES]
     bounds: dict[str, list[float]] = {}
     for c in [c for c in cols if c not in many]:
         values = sorted(r[0] for r in df.select(c).distinct().collect())
-        if len(values) > BINS:
+        if len(values) > KNOWN_VALUES:
             many.append(c)
         else:
             bounds[c] = [(x + y) / 2 for x, y in zip(values, values[1:])]
