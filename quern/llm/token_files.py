@@ -25,7 +25,9 @@ from quern.llm.process import per_process
 
 BLOCK_BYTES = 4 << 20
 BLOCK_DOCS = 1 << 16
-BLOCKS_PER_FILE = 8
+# A file is one value in a reader's batch, so that few blocks keep batches and their copies small.
+BLOCKS_PER_FILE = 2
+# Pieces a worker process remembers between tasks, about 200 bytes each.
 CACHED_PIECES = 1_000_000
 JOINED_PIECES = 5_000
 # Fixed value: how byte-level vocabularies write a space.
@@ -140,7 +142,7 @@ class Block:
         return self.ids[self.boundaries[i - 1] if i else 0 : self.boundaries[i]]
 
 
-def blocks_of(content: bytes) -> Iterator[Block]:
+def blocks_of(content: bytes | pa.Buffer) -> Iterator[Block]:
     view, at = memoryview(content), 0
     while at < len(view):
         block = Block(view[at:])
@@ -277,7 +279,7 @@ def write_tokens(
     The order runs through the files in the order of their names. Null keys come first; repeated rows and
     keys are documents of their own, next to each other; a null or empty text is only its end id; other
     columns are not read; an empty table gives no blocks. Blocks hold about 4 MB of ids (one longer text
-    is a block of its own) and files 8 blocks, so that a reader's memory is bounded.
+    is a block of its own) and files 2 blocks, so that a reader's memory is bounded.
     """
     d = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     ordered = d.repartitionByRange(F.col("key").asc_nulls_first()).sortWithinPartitions(F.col("key").asc_nulls_first(), "text")
@@ -291,7 +293,8 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"], strict=True):
             before, place = 0, 0
-            for block in blocks_of(content.as_buffer().to_pybytes()):
+            # The batch's own memory, not a copy.
+            for block in blocks_of(content.as_buffer()):
                 ends = block.boundaries.values()
                 starts = np.concatenate(([0], ends[:-1])) if len(ends) else ends
                 wide = block.ids.astype("<u4")

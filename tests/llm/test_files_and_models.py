@@ -13,6 +13,7 @@ from itertools import product
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -239,3 +240,13 @@ def test_products_of_parts_cut_where_the_pattern_cuts():
     assert 50256 in plain.encode("a<|endoftext|>", add_special_tokens=False).ids
     for text, coded in zip(texts, encoder.encode(texts), strict=True):
         assert np.frombuffer(coded, "<u2").tolist() == plain.encode(text, add_special_tokens=False).ids, text
+
+
+def test_files_are_small_and_read_without_a_copy(monkeypatch):
+    data = b"".join(token_files.pack_block([i], [np.array([i, 0], dtype="<u2").tobytes()], 2) + b"\n" for i in range(3))
+    seen, real = [], token_files.blocks_of
+    monkeypatch.setattr(token_files, "blocks_of", lambda content: seen.append(content) or real(content))
+    batch = pa.RecordBatch.from_pydict({"path": ["f"], "content": pa.array([data], pa.binary())})
+    rows = pa.Table.from_batches(token_files._rows(iter([batch]))).to_pylist()
+    assert [(r["key"], r["start"], r["n_tokens"]) for r in rows] == [(0, 0, 2), (1, 2, 2), (2, 4, 2)]
+    assert isinstance(seen[0], pa.Buffer) and token_files.BLOCKS_PER_FILE * token_files.BLOCK_BYTES <= 8 << 20
