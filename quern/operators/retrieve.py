@@ -8,6 +8,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
@@ -18,7 +19,9 @@ from quern.common import broadcast_if_small, fits
 
 # Queries up to this count are held by every task; more are matched block by block.
 QUERY_LIMIT = 4096
-BLOCK_ROWS = 8192
+BLOCK_ROWS = 32_768
+# Runs of columns in which the least distance is looked for.
+RUNS = 64
 # Texts cut into chunks at once.
 CHUNKED_TEXTS = 200
 
@@ -108,6 +111,30 @@ def _matrix(vectors) -> np.ndarray:
     return np.array(list(vectors), dtype=np.float64)
 
 
+def _vectors(rows: pa.Table) -> np.ndarray:
+    """Vectors as rows of a matrix; they are of one length."""
+    vec = rows["vec"].combine_chunks()
+    width = pc.unique(pc.list_value_length(vec)).to_pylist()
+    if len(width) != 1:
+        raise ValueError("vectors of several lengths")
+    return vec.flatten().to_numpy().reshape(len(vec), width[0])
+
+
+def _edges(rough: np.ndarray, k: int) -> np.ndarray:
+    """A bound that at least ``k`` numbers of each row keep, and few others.
+
+    It is the ``k``-th least of the least numbers of ``RUNS`` runs of columns, found in one pass; where there are few columns,
+    the ``k``-th least number itself.
+    """
+    near, runs = min(k, rough.shape[1]) - 1, max(RUNS, 4 * k)
+    width = rough.shape[1] // runs
+    if width < 8:
+        return np.partition(rough, near, axis=1)[:, near]
+    least = np.fmin.reduce(rough[:, : runs * width].reshape(len(rough), runs, width), axis=2)
+    edge = np.partition(least, near, axis=1)[:, near]
+    return np.where(np.isnan(edge), np.inf, edge)
+
+
 def _closest(q_ids, q, s_ids, s, k, q_fold=None, s_fold=None):
     """The ``k`` closest rows of ``s`` for each row of ``q`` as three arrays.
 
@@ -116,15 +143,19 @@ def _closest(q_ids, q, s_ids, s, k, q_fold=None, s_fold=None):
     """
     qq, ss = (q * q).sum(1), (s * s).sum(1)
     left, right, dist = [], [], []
-    for start in range(0, len(q), 1024):
-        part = slice(start, start + 1024)
-        rough = qq[part, None] + ss[None, :] - 2.0 * (q[part] @ s.T)
+    twice = -2.0 * s.T
+    for start in range(0, len(q), 256):
+        part = slice(start, start + 256)
+        rough = q[part] @ twice
+        rough += ss
+        rough += qq[part, None]
         if q_fold is not None:
             rough[q_fold[part, None] == s_fold[None, :]] = np.inf
-        near = min(k, rough.shape[1]) - 1
-        edge = np.partition(rough, near, axis=1)[:, near]
+        edge = _edges(rough, k)
         margin = 1e-9 * (qq[part] + ss.max()) + 1e-12
-        rows, cols = np.nonzero((rough <= (edge + margin)[:, None]) & np.isfinite(rough))
+        rows, cols = np.nonzero(rough <= (edge + margin)[:, None])
+        finite = np.isfinite(rough[rows, cols])
+        rows, cols = rows[finite], cols[finite]
         exact = np.sqrt(((q[part][rows] - s[cols]) ** 2).sum(1))
         order = np.lexsort((s_ids[cols], exact, rows))
         rows, cols, exact = rows[order], cols[order], exact[order]
@@ -226,14 +257,17 @@ def _by_blocks(
     left = spread(queries, n_query, "_nq", "_qb", n_store, "_ns", "_sb")
     right = spread(store, n_store, "_ns", "_sb", n_query, "_nq", "_qb")
 
-    def search(q: pd.DataFrame, s: pd.DataFrame) -> pd.DataFrame:
+    def search(q: pa.Table, s: pa.Table) -> pa.Table:
         if not len(q) or not len(s):
-            return pd.DataFrame({"query_id": [], "store_id": [], "distance": []})
+            return pa.table({"query_id": pa.array([], pa.int64()), "store_id": pa.array([], pa.int64()), "distance": pa.array([], pa.float64())})
         folds = (q["fold"].to_numpy(), s["fold"].to_numpy()) if folded else (None, None)
         q_ids, s_ids = q["id"].to_numpy(), s["id"].to_numpy()
-        return _frame(_closest(q_ids, _matrix(q["vec"]), s_ids, _matrix(s["vec"]), k, *folds))
+        left, right, dist = _closest(q_ids, _vectors(q), s_ids, _vectors(s), k, *folds)
+        # A missing id came as NaN.
+        left, right = (pa.array(x, pa.int64(), from_pandas=True) for x in (left, right))
+        return pa.table({"query_id": left, "store_id": right, "distance": dist})
 
-    return left.cogroup(right).applyInPandas(search, HITS)
+    return left.cogroup(right).applyInArrow(search, HITS)
 
 
 def _best(hits: DataFrame, k: int) -> DataFrame:

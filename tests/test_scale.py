@@ -243,3 +243,31 @@ def test_a_hot_message_becomes_numbered_messages(spark):
         names[r["message_id"], r["message_no"]] = [a["name"] for a in found]
     assert {k: len(v) for k, v in names.items()} == {(1, 0): 4, (1, 1): 4, (1, 2): 2, (2, 0): 1, (3, 0): 0}
     assert names[1, 0][:2] == ["t_1.csv", "t_1_2.csv"] and len({n for v in names.values() for n in v}) == 11
+
+
+def test_the_edge_of_the_nearest_keeps_enough():
+    """At least ``k`` columns lie below it, equal, infinite and missing numbers included; a few more may."""
+    rng = np.random.default_rng(8)
+    rough = rng.random((50, 1000))
+    rough[1], rough[2, 5:], rough[3, 100:] = 0.5, np.inf, np.nan
+    for k in (1, 3, 20):
+        edge = retrieve._edges(rough, k)
+        assert not np.isnan(edge).any()
+        for row, e in zip(rough, edge):
+            assert np.sort(row)[k - 1] <= e or np.isnan(np.sort(row)[k - 1])
+        assert (rough[4:] <= edge[4:, None]).sum(1).max() <= 8 * k
+    few = rough[4:, :100]
+    assert retrieve._edges(few, 3).tolist() == np.sort(few, axis=1)[:, 2].tolist()
+
+
+def test_closest_in_wide_blocks_against_brute_force():
+    rng = np.random.default_rng(9)
+    s = rng.normal(size=(900, 4))
+    s[300:340] = s[7]
+    ids, folds = rng.permutation(900), rng.integers(0, 3, 900)
+    left, right, dist = retrieve._closest(ids, s, ids, s, 4, folds, folds)
+    for i in range(900):
+        d = np.where(folds == folds[i], np.inf, np.sqrt(((s - s[i]) ** 2).sum(1)))
+        order = np.lexsort((ids, d))[:4]
+        mine = left == ids[i]
+        assert right[mine].tolist() == ids[order].tolist() and dist[mine] == pytest.approx(d[order])
