@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,9 @@ from quern.functions.words import CLOUD_EXTRA, ENGLISH, STOP_WORDS, accent_table
 from quern.operators.profile import class_share
 from quern.operators.shape import top_n_per_group
 
+# Size of the table of bits that tells most other pairs from phrases: 64 MB at most.
+BITS_PER_ROW, MOST_BITS = 16, 1 << 29
+
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -213,16 +217,42 @@ def _merge(tokens: Sequence[str], joins) -> list[str]:
     return out
 
 
+def _maybe(listed: DataFrame, cols: Sequence[str]) -> Column:
+    """False only for rows whose columns are surely not among those of ``listed``.
+
+    Each listed row sets one bit of a table of at least ``BITS_PER_ROW`` bits a row, up to ``MOST_BITS``; beyond that size
+    more rows pass. Nulls count as nothing.
+    """
+    n = listed.count()
+    log = min(max((BITS_PER_ROW * n).bit_length(), 6), MOST_BITS.bit_length() - 1)
+    # The words of the table as one array of numbers, read by place.
+    place = F.shiftrightunsigned(F.xxhash64(*cols), 64 - log)
+    word, bit = F.shiftright(place, 6), F.pmod(place, F.lit(64)).cast("int")
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)
+    held = np.zeros(1 << (log - 6), dtype=np.int64)
+    found = listed.groupBy(word.alias("word")).agg(F.bit_or(one).alias("bits")).toArrow()
+    held[found["word"].to_numpy()] = found["bits"].to_numpy()
+    known = listed.sparkSession.sparkContext.broadcast(held)
+
+    @F.pandas_udf("boolean")
+    def met(word: pd.Series, bit: pd.Series) -> pd.Series:
+        return pd.Series((known.value[word.to_numpy()] >> bit.to_numpy()) & 1 == 1)
+
+    return met(word, bit)
+
+
 def apply_phrases(
     df: DataFrame, tokens: str, phrases: DataFrame, key: str, limit: int = 300_000
 ) -> DataFrame:
     """Replace phrase pairs by ``a_b`` in an array column; a null array becomes an empty one.
 
     Up to ``limit`` phrases travel to the executors as a set, after a count. Beyond that the
-    pairs are matched by a join, and only the places that matched are sent back to their texts.
+    pairs are matched by a join, and only the places that matched are sent back to their texts. Places
+    whose pair surely is no phrase, by a table of bits, are left out before that join.
     """
     df = df.withColumn(tokens, F.coalesce(tokens, F.array().cast("array<string>")))
-    few = phrases.select("a", "b").limit(limit + 1).collect()
+    phrases = materialize(phrases.select("a", "b"), "phrases")
+    few = phrases.limit(limit + 1).collect()
     if len(few) <= limit:
         pairs = df.sparkSession.sparkContext.broadcast({(r["a"], r["b"]) for r in few})
 
@@ -241,7 +271,8 @@ def apply_phrases(
     places = (
         df.select(key, F.posexplode(neighbours).alias("_pos", "_p"))
         .select(key, "_pos", "_p.a", "_p.b")
-        .join(phrases.select("a", "b"), ["a", "b"], "left_semi")
+        .filter(_maybe(phrases, ["a", "b"]))
+        .join(phrases, ["a", "b"], "left_semi")
         .groupBy(key)
         .agg(F.collect_list("_pos").alias("_places"))
     )

@@ -271,3 +271,17 @@ def test_closest_in_wide_blocks_against_brute_force():
         order = np.lexsort((ids, d))[:4]
         mine = left == ids[i]
         assert right[mine].tolist() == ids[order].tolist() and dist[mine] == pytest.approx(d[order])
+
+
+@pytest.mark.parametrize("most", [1 << 29, 64])
+def test_pairs_that_are_no_phrases_stay_out_of_the_join(spark, monkeypatch, most):
+    """Every phrase passes, however small the table of bits; other pairs mostly do not."""
+    monkeypatch.setattr(text, "MOST_BITS", most)
+    phrases = spark.createDataFrame([(f"a{i}", f"b{i}") for i in range(500)], "a string, b string")
+    pairs = spark.createDataFrame([(f"a{i}", f"b{j}") for i in range(500) for j in (i, i + 1)], "a string, b string")
+    kept = {tuple(r) for r in pairs.filter(text._maybe(phrases, ["a", "b"])).collect()}
+    assert kept >= {(f"a{i}", f"b{i}") for i in range(500)}
+    assert most == 64 or len(kept) < 600
+    rows = spark.createDataFrame([(i, [f"a{i}", f"b{i}", f"a{i}", f"b{i + 1}", None]) for i in range(500)], "k int, t array<string>")
+    got = {r["k"]: r["t"] for r in text.apply_phrases(rows, "t", phrases, "k", 0).collect()}
+    assert got == {i: [f"a{i}_b{i}", f"a{i}", f"b{i + 1}", None] for i in range(500)}
